@@ -35,9 +35,9 @@ CORE_SHARE = 0.75
 STEPS = 4
 #: Groups with fewer documents have no estimate of their own; their documents are judged by the estimate for all groups.
 MIN_GROUP = 100
-#: On the squared distance. A vector of 6 normal variables passes 30 with a chance of 4e-5, and the floor makes that less;
+#: On the squared distance. A vector of 6 normal variables passes 25 with a chance of 3e-4, and the floor makes that less;
 #: tails of real statistics are heavier, and the stage is to keep clean documents.
-CUTOFF = 30.0
+CUTOFF = 25.0
 
 
 def text_statistics(text: str) -> tuple:
