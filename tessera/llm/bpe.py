@@ -24,6 +24,8 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Fixed values of the byte-level alphabet: bytes that stand for themselves; the others get code points from 256 on, in order.
 _PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: The last character of a word is moved to this private area; it stands for that character with the end-of-word mark.
@@ -231,6 +233,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     tokenizer's file on every executor.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids + ", decoded string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

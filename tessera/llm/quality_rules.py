@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from .common import discard, materialize, null_key
+from .common import discard, materialize, null_key, small_batches
 
 BLANKS = " \t\n\r\x0b\x0c"
 SYMBOLS = "#*$%&|<>"
@@ -147,6 +147,7 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     (distance null). Repeated rows get equal verdicts. Only the named columns are read. An empty table gives an empty result.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
     schema = f"id {kind}, `group` string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, " + ", ".join(f"{f} double" for f in FEATURES)
     rows = docs.select(F.col(id_col).alias("id"), null_key(*group_cols).alias("group"), F.col(text_col).alias("text"))
     rows = materialize(rows.mapInArrow(_statistics, schema), "statistics")

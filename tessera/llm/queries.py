@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, mixing, quality_rules
-from .common import documents
+from . import bpe, exact_dedup, html_text, language_id, minhash, mixing, pii, quality_classifier, quality_rules, substring_dedup
+from .common import documents, table
 
 
 def tokenizer_path() -> str:
@@ -19,15 +19,39 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(documents(spark, sf_dir), tokenizer_path())
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = F.array_join(F.transform("passages", lambda p: F.concat(p["start"].cast("string"), F.lit("-"), p["end"].cast("string"))), ",")
+    return substring_dedup.repeated_passages(documents(spark, sf_dir)).withColumn("passages", listed)
+
+
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.withColumn("first_position", F.try_element_at("positions", F.lit(1))).drop("positions").orderBy(F.asc_nulls_last("first_position"), "doc_id")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(documents(spark, sf_dir))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), pii.span_list().alias("spans"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    docs = documents(spark, sf_dir).withColumn("held_out", held_out)
+    return language_id.predict(docs, docs.where("not held_out"), keep=("held_out",))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(documents(spark, sf_dir)).drop(*quality_rules.FEATURES)
 
@@ -43,7 +67,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_bpe, op4_mixing, op7_minhash, op9_quality_rules, op10_exact_dedup, pipeline)}
+    return {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_html, op4_mixing, op5_quality_classifier, op6_pii, op7_minhash, op8_language_id, op9_quality_rules, op10_exact_dedup, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
