@@ -8,9 +8,11 @@ equal with a probability of the sets' Jaccard similarity, and the number of equa
 
 Banding: b bands of r coordinates. Texts with equal shingle sets are one class and only the class's smallest id goes on. In
 each band all classes with equal values meet; the classes in such a group are linked to one of them, verified on full sets.
-If a group then still spans several components, it is tried with another centre, and at last pair by pair; there the distance to
-the centre, which is known, rules pairs out by the triangle inequality of the Jaccard distance. So no group has
-all its pairs made unless its members really are alike but not linked through each other, and no verified link is lost.
+Two centres are tried. If a small group then still spans several components, its pairs across them are verified; the distance
+to the centre, which is known, rules some out by the triangle inequality of the Jaccard distance. The members of larger such
+groups are joined exactly by prefix filtering: shingles are ordered from rare to frequent, and two sets that are similar
+enough share one of their first few. What keeps a text apart from its group is rare, so its first shingles are its own, and
+hardly any pairs are made. So no group has all its pairs made, and no link between texts that met is lost.
 With r = 6, b = 40, two sets of similarity 0.8 meet in no band with a chance of 5e-6.
 """
 
@@ -21,19 +23,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, materialize, small_batches
 from .components import connected_components
 
 ROWS, BANDS = 6, 40
 PERCENT = 80
 SHINGLE = 2
+#: Groups of a band with up to this many texts left in several components are taken pair by pair.
+SMALL_GROUP = 16
 
 _U = np.uint64
+_UNFILLED = np.uint64(0xFFFFFFFFFFFFFFFF)
 _HASHES: dict[bytes, int] = {}
-_HASH_TABLE = 400_000
+_HASH_TABLE = 200_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -65,16 +70,18 @@ def shingle_set(text: str, k: int = SHINGLE) -> np.ndarray:
 
 def sketch(names: np.ndarray, t: int) -> np.ndarray:
     """t coordinates; each holds the round it was filled in (upper bits) and the hash value (lower 48 bits)."""
-    out = np.full(t, np.iinfo(np.uint64).max, np.uint64)
-    for step in range(2 * t):
-        h = _mix(names + _U((0x632BE59BD9B4E019 * (step + 1)) & 0xFFFFFFFFFFFFFFFF))
-        value = (h >> _U(16)) | _U(step << 48)
-        if step < t:
-            np.minimum.at(out, ((h & _U(0xFFFF)) * _U(t)) >> _U(16), value)
-        elif (i := step - t) < t:
-            out[i] = min(out[i], value.min())
-        if (out != np.iinfo(np.uint64).max).all():
-            break
+    out, step = np.full(t, _UNFILLED, np.uint64), 0
+    while step < t:
+        # Several rounds at a time for small sets: rounds after the last that is needed change nothing.
+        last = min(t, step + max(1, 4 * t // len(names)))
+        rounds = np.arange(step, last, dtype=np.uint64)[:, None]
+        h = _mix(names[None, :] + (rounds + _U(1)) * _U(0x632BE59BD9B4E019))
+        np.minimum.at(out, (((h & _U(0xFFFF)) * _U(t)) >> _U(16)).ravel(), ((h >> _U(16)) | (rounds << _U(48))).ravel())
+        if not (out == _UNFILLED).any():
+            return out
+        step = last
+    for i in np.flatnonzero(out == _UNFILLED):
+        out[i] = (_mix(names + _U((0x632BE59BD9B4E019 * (t + int(i) + 1)) & 0xFFFFFFFFFFFFFFFF)) >> _U(16)).min() | _U((t + int(i)) << 48)
     return out
 
 
@@ -108,6 +115,14 @@ def _sets(shingle: int):
     return run
 
 
+def _names(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(v.as_py() or "", shingle).view(np.int64) for v in batch.column(1)], pa.list_(pa.int64()))], names=["id", "names"])
+
+    return run
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of two sorted sets of names: how many are in both."""
     for batch in batches:
@@ -119,11 +134,32 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("n_a"), batch.column("n_b"), pa.array(out, pa.int64())], names=["a", "b", "n_a", "n_b", "both"])
 
 
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs with one of these ids. Always by shuffle: the number of ids grows with the documents."""
+    return docs.join(ids.hint("merge"), "id", "left_semi")
+
+
+def _by_prefix(members: DataFrame, docs: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """members: rep, n, component. Pairs a, b, n_a, n_b of different components that can have the similarity, by prefix filtering."""
+    kind = docs.schema["id"].dataType.simpleString()
+    sets = _texts(docs, members.select(F.col("rep").alias("id"))).mapInArrow(_names(shingle), f"id {kind}, names array<long>")
+    shingles = materialize(sets.select("id", F.explode("names").alias("name")).distinct(), "shingles")
+    frequency = shingles.groupBy("name").agg(F.count("*").alias("texts"))
+    own = shingles.join(frequency, "name").join(members, F.col("id") == F.col("rep"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("texts", "name"))
+    # Any partner shares at least percent of a set, so the rest and one more of its first shingles hold a common one.
+    first = materialize(own.select("rep", "n", "component", "name", "texts").withColumn("place", place).where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).where("texts > 1"), "prefixes")
+    x, y = first.alias("x"), first.alias("y")
+    need = F.ceil(percent * (F.col("x.n") + F.col("y.n")) / (100 + percent))
+    similar = (F.col("x.name") == F.col("y.name")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.place") <= F.col("x.n") - need + 1) & (F.col("y.place") <= F.col("y.n") - need + 1)
+    return x.join(y, similar).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")).distinct()
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
     """pairs: a, b, n_a, n_b. Adds both (shared shingles), from the full sets of the whole texts."""
     kind = docs.schema["id"].dataType.simpleString()
     taking_part = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = materialize(docs.join(taking_part, "id", "left_semi").mapInArrow(_sets(shingle), f"id {kind}, names binary"), "sets")
+    sets = materialize(_texts(docs, taking_part).mapInArrow(_sets(shingle), f"id {kind}, names binary"), "sets")
     left, right = sets.select(F.col("id").alias("a"), F.col("names").alias("names_a")), sets.select(F.col("id").alias("b"), F.col("names").alias("names_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "names_a", "names_b").mapInArrow(_shared, f"a {kind}, b {kind}, n_a long, n_b long, both long")
     out = materialize(both, "verified")
@@ -139,6 +175,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with the largest digest of its set. Rows without id have no part in links and come back with component_id null, kept true.
     Only the two named columns are read.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     rows_in = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketched = materialize(rows_in.mapInArrow(_sketches(rows, bands, shingle), f"id {kind}, n long, digest binary, keys array<long>"), "sketches")
@@ -164,14 +201,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     # What is left: groups that span several components. Pairs across them, unless the centre rules them out.
     placed = members.join(components, members.rep == components.node, "left").select("key", "rep", "n", "centre", F.coalesce("component", "rep").alias("component"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
-    open_rows = placed.join(open_keys, "key", "left_semi")
+    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("left")).where("low <> high").select("key", "left")
+    open_rows = materialize(placed.join(open_keys, "key"), "open")
+    small = open_rows.where(F.col("left") <= SMALL_GROUP)
     known = checked.select("a", "b", (1 - F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))).alias("away"))
-    open_rows = open_rows.join(known, (F.least("rep", "centre") == F.col("a")) & (F.greatest("rep", "centre") == F.col("b")), "left").select("key", "rep", "n", "component", F.when(F.col("rep") == F.col("centre"), 0.0).otherwise(F.col("away")).alias("away"))
-    open_rows = materialize(open_rows, "open")
-    x, y = open_rows.alias("x"), open_rows.alias("y")
+    small = small.join(known, (F.least("rep", "centre") == F.col("a")) & (F.greatest("rep", "centre") == F.col("b")), "left").select("key", "rep", "n", "component", F.when(F.col("rep") == F.col("centre"), 0.0).otherwise(F.col("away")).alias("away"))
+    x, y = small.alias("x"), small.alias("y")
     across = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & F.coalesce(F.abs(F.col("x.away") - F.col("y.away")) <= 1 - percent / 100 + 1e-9, F.lit(True))
-    rest = x.join(y, across).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b")).distinct()
+    rest = x.join(y, across).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"))
+    large = materialize(open_rows.where(F.col("left") > SMALL_GROUP).select("rep", "n", "component").distinct(), "large")
+    if not large.isEmpty():
+        rest = rest.union(_by_prefix(large, rows_in, percent, shingle))
+    rest = rest.distinct()
     rest = materialize(rest.join(checked.select("a", "b"), ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = _verified(rest, rows_in, shingle).where(f"100 * both >= {percent} * (n_a + n_b - both)")
