@@ -18,9 +18,11 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .common import materialize, small_batches
 
@@ -109,7 +111,8 @@ def _near(text: str, spans: list[tuple[int, int, int]], window: int) -> list[tup
 
 def _marks(window: int):
     names = ["id", "text_key", "base", "n_email", "n_ip", "n_card", "n_phone", "near", "term", "n"]
-    near_type = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+    fields = ("entity", "term", "start", "end", "new_pair", "new_entity")
+    near_type = pa.list_(pa.struct(list(zip(fields, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int8(), pa.int8())))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, int] = {}
@@ -131,7 +134,10 @@ def _marks(window: int):
                 counts = [0] * 4
                 for kind, _, _ in spans:
                     counts[kind] += 1
-                near = _near(text, spans, window) if spans else []
+                near, seen = [], set()
+                for entity, term, start, end in _near(text, spans, window) if spans else ():
+                    near.append((entity, term, start, end, int((entity, term) not in seen), int(entity not in seen)))
+                    seen |= {entity, (entity, term)}
                 rows.append((_name(text), ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans), *counts, near))
                 for term in set(_TERM.findall(text.lower())):
                     held[term] = held.get(term, 0) + 1
@@ -139,7 +145,7 @@ def _marks(window: int):
                     yield flush()
             if rows:
                 c = list(zip(*rows))
-                near = pa.array([[dict(zip(("entity", "term", "start", "end"), x)) for x in r] for r in c[6]], near_type)
+                near = pa.array([[dict(zip(fields, x)) for x in r] for r in c[6]], near_type)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), *[pa.array(x, pa.int64()) for x in c[2:6]], near, pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64())], names=names)
         if held:
             yield flush()
@@ -156,13 +162,13 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     kind = docs.schema[id_col].dataType.simpleString()
     small_batches(docs.sparkSession)
-    schema = f"id {kind}, text_key long, base string, n_email long, n_ip long, n_card long, n_phone long, near array<struct<entity:long,term:long,start:int,end:int>>, term long, n long"
+    schema = f"id {kind}, text_key long, base string, n_email long, n_ip long, n_card long, n_phone long, near array<struct<entity:long,term:long,start:int,end:int,new_pair:tinyint,new_entity:tinyint>>, term long, n long"
     marks = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_marks(window), schema), "marks")
     rows = marks.where("base is not null")
     near = rows.where(F.size("near") > 0).select("id", "text_key", F.explode("near").alias("x")).select("id", "text_key", "x.*")
-    # Documents are told apart by id and text; each counts once for a pair however often it repeats it.
-    pairs = near.select("id", "text_key", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= min_support)
-    entities = near.select("id", "text_key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # Every row of docs counts once for a pair, however often it repeats it.
+    pairs = near.groupBy("entity", "term").agg(F.sum("new_pair").alias("n_both")).where(F.col("n_both") >= min_support)
+    entities = near.groupBy("entity").agg(F.sum("new_entity").alias("n_entity"))
     terms = marks.where("base is null").groupBy("term").agg(F.sum("n").alias("n_term"))
     total = float(max(rows.count(), 1))
     share = F.log2(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.greatest(F.log2(total / F.col("n_entity")), F.lit(1e-9))
@@ -180,10 +186,10 @@ def span_list(base: str = "base", terms: str = "terms"):
     return F.concat_ws(",", F.nullif(F.col(base), F.lit("")), F.nullif(listed, F.lit("")))
 
 
-def sanitise(text: str | None, base: str, terms: list) -> str | None:
+def sanitise(text: str | None, base: str | None, terms: list | None) -> str | None:
     """text with base spans replaced by their kind, disclosing terms by [term], and removed ones left out."""
-    if text is None:
-        return None
+    if text is None or base is None or terms is None:
+        return text
     cuts = [(int(s), int(e), f"[{k}]") for k, s, e in (x.split(":") for x in base.split(",") if x)] + [(t["start"], t["end"], "" if t["removed"] else "[term]") for t in terms]
     out, at = [], 0
     for s, e, put in sorted(cuts):
@@ -196,10 +202,13 @@ def sanitise(text: str | None, base: str, terms: list) -> str | None:
 
 
 def sanitised_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
-    """docs with their texts sanitised, all other columns unchanged. Rows whose id is null are left as they are but for base spans."""
+    """docs with their texts sanitised, all other columns unchanged. Ids have to name one text each here; null ids are one id."""
     found = find_personal_data(docs, id_col, text_col, **parameters).where("base <> '' or size(terms) > 0")
     found = found.select(F.col(id_col).alias("_id"), F.col("base").alias("_base"), F.col("terms").alias("_terms")).dropDuplicates(["_id", "_base"])
-    clean = F.udf(sanitise, "string")
+
+    @F.pandas_udf(StringType())
+    def clean(texts: pd.Series, bases: pd.Series, terms: pd.Series) -> pd.Series:
+        return pd.Series([sanitise(*x) for x in zip(texts, bases, terms)], dtype=object)
+
     joined = docs.join(found, docs[id_col].eqNullSafe(F.col("_id")), "left")
-    text = F.when(F.col("_base").isNull(), F.col(text_col)).otherwise(clean(F.col(text_col), F.col("_base"), F.col("_terms")))
-    return joined.withColumn(text_col, text).drop("_id", "_base", "_terms")
+    return joined.withColumn(text_col, clean(F.col(text_col), F.col("_base"), F.col("_terms"))).drop("_id", "_base", "_terms")
