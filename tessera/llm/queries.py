@@ -70,8 +70,20 @@ def queries() -> dict:
     return {f.__name__: f for f in (op1_bpe, op2_substring_dedup, op3_html, op4_mixing, op5_quality_classifier, op6_pii, op7_minhash, op8_language_id, op9_quality_rules, op10_exact_dedup, pipeline)}
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op7_minhash": f"""
+            WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+            s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+            e AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM s),
+            p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+                  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+            l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+            r AS (SELECT doc_id, doc_id AS c FROM s UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.doc_id)
+            SELECT s.doc_id, len(s.s) AS n_shingles, min(r.c) AS component_id, min(r.c) = s.doc_id AS kept FROM s JOIN r ON r.doc_id = s.doc_id GROUP BY s.doc_id, len(s.s)""",
         "op10_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
