@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import materialize, small_batches
 
 TEXT_SIZE = 4096
-LANG_SLOTS, SOURCE_SLOTS, LAYOUT = 16, 64, 9
+LANG_SLOTS, SOURCE_SLOTS, LAYOUT = 16, 64, 11
 META_SIZE = LANG_SLOTS + SOURCE_SLOTS + LAYOUT
 #: Bounds: labelled rows of each class on the driver, and picks of each class, view and round.
 SAMPLE, PICKS, ROUNDS = 1500, 100, 3
@@ -65,11 +65,12 @@ def meta_features(lang: str | None, source: str | None, text: str) -> list[float
     out[_slot(f"lang {lang!r}", LANG_SLOTS)] = 1.0
     out[LANG_SLOTS + _slot(f"source {source!r}", SOURCE_SLOTS)] = 1.0
     n, words = max(len(text), 1), text.count(" ") + text.count("\n") + 1
-    lines = text.split("\n")
+    lines, tokens = text.split("\n"), text.split()
+    echoes = sum(map(str.__eq__, tokens, tokens[1:])) / max(len(tokens), 1)  # words that repeat the one before
     capitals = len(re.findall("[A-Z]", text)) / n
     symbols = sum(map(text.count, "#*$%&|<>!")) / n
     digits = len(re.findall("[0-9]", text)) / n
-    out[-LAYOUT:] = [np.log1p(len(text)), np.log(n / words), capitals**0.5, symbols**0.5, digits**0.5, len(lines) / words, 1 - len(set(lines)) / len(lines), float(len(text) < 60), np.log1p(len(lines))]
+    out[-LAYOUT:] = [np.log1p(len(text)), np.log(n / words), capitals**0.5, symbols**0.5, digits**0.5, len(lines) / words, 1 - len(set(lines)) / len(lines), float(len(text) < 60), np.log1p(len(lines)), echoes**0.5, np.log((len(set(tokens)) + 1) / (len(tokens) + 1))]
     return [float(x) for x in out]
 
 
