@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import deque
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -54,13 +56,18 @@ def jaro_winkler(a: str, b: str, scale: float = 0.1) -> float:
     if not a or not b:
         return 0.0
     reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    # For each character its free places in b, in order; the window only moves on, so places before it never come back.
+    free: dict[str, deque[int]] = {}
+    for j, c in enumerate(b):
+        free.setdefault(c, deque()).append(j)
     taken, hits = [False] * len(b), []
     for i, c in enumerate(a):
-        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
-            if not taken[j] and b[j] == c:
-                taken[j] = True
-                hits.append(c)
-                break
+        places = free.get(c)
+        while places and places[0] < i - reach:
+            places.popleft()
+        if places and places[0] <= i + reach:
+            taken[places.popleft()] = True
+            hits.append(c)
     m = len(hits)
     if not m:
         return 0.0

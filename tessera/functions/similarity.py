@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import char_ngrams, tokens
+from .text import char_ngrams
 
 
 def token_jaccard(a: Column, b: Column) -> Column:
@@ -14,13 +14,17 @@ def token_jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
-def ngram_cosine(a: Column, b: Column, n: int = 3) -> Column:
-    """Unweighted cosine of n-gram sets; 0 if either is empty."""
-    x, y = F.array_distinct(char_ngrams(a, n)), F.array_distinct(char_ngrams(b, n))
+def set_cosine(x: Column, y: Column) -> Column:
+    """Unweighted cosine of two arrays without repeats; 0 if either is empty."""
     product = F.size(x) * F.size(y)
     return F.when(product == 0, 0.0).otherwise(F.size(F.array_intersect(x, y)) / F.sqrt(product.cast("double")))
 
 
+def ngram_cosine(a: Column, b: Column, n: int = 3) -> Column:
+    """Of the n-gram sets of two texts."""
+    return set_cosine(F.array_distinct(char_ngrams(a, n)), F.array_distinct(char_ngrams(b, n)))
+
+
 def acronym(words: Column) -> Column:
     return F.array_join(F.transform(words, lambda t: F.substring(t, 1, 1)), "")
 
@@ -33,7 +37,9 @@ def abbreviation_share(a: Column, b: Column) -> Column:
     """Share of the shorter name's words that start some word of the longer; of equal lengths the first is the shorter."""
     first = F.size(a) <= F.size(b)
     short, long_ = F.when(first, a).otherwise(b), F.when(first, b).otherwise(a)
-    hits = F.size(F.filter(short, lambda t: F.exists(long_, lambda u: F.startswith(u, t))))
+    # A word starts some word of the longer name where it stands after a blank in their joined text: no nested loop over words.
+    joined = F.concat(F.lit(" "), F.array_join(long_, " "))
+    hits = F.size(F.filter(short, lambda t: F.contains(joined, F.concat(F.lit(" "), t))))
     return F.when(F.size(short) == 0, 0.0).otherwise(hits / F.size(short))
 
 
@@ -57,6 +63,3 @@ def postcode_equal(a: Column, b: Column) -> Column:
 def address_missing(a: Column, b: Column) -> Column:
     return ((F.coalesce(a, F.lit("")) == "") | (F.coalesce(b, F.lit("")) == "")).cast("double")
 
-
-def words(text: Column) -> Column:
-    return tokens(text)

@@ -123,6 +123,11 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), r"(?U)\s+"), lambda t: t != "")
 
 
+def words(text: Column) -> Column:
+    """tokens() of a text whose blanks are squeezed already: cut at single blanks, without a regular expression."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), " "), lambda t: t != "")
+
+
 def squeeze(text: Column) -> Column:
     return F.array_join(tokens(text), " ")
 
@@ -139,18 +144,18 @@ def consonant_skeleton(text: Column) -> Column:
     return F.regexp_replace(text, r"[^\p{L}]|[aeiou]", "")
 
 
-def apply_abbreviations(words: Column, mapping: Column) -> Column:
-    """words with those in the map (one country's) replaced."""
-    return F.transform(words, lambda t: F.coalesce(F.try_element_at(mapping, t), t))
+def apply_abbreviations(parts: Column, mapping: Column) -> Column:
+    """parts with those in the map (one country's) replaced."""
+    return F.transform(parts, lambda t: F.coalesce(F.try_element_at(mapping, t), t))
 
 
-def split_legal_form(words: Column, forms: Column) -> Column:
+def split_legal_form(parts: Column, forms: Column) -> Column:
     """(rest, form): one trailing form of two words, else of one, is taken off."""
-    n = F.size(words)
-    two = F.array_join(F.slice(words, -2, 2), " ")
-    one = F.element_at(words, -1)
+    n = F.size(parts)
+    two = F.array_join(F.slice(parts, -2, 2), " ")
+    one = F.element_at(parts, -1)
     drop = F.when((n >= 2) & F.array_contains(forms, two), 2).when((n >= 1) & F.array_contains(forms, one), 1).otherwise(0)
-    rest = F.slice(words, F.lit(1), n - drop)
+    rest = F.slice(parts, F.lit(1), n - drop)
     return F.struct(rest.alias("rest"), F.when(drop == 2, two).when(drop == 1, one).alias("form"))
 
 
@@ -167,26 +172,32 @@ def postcode(address: Column) -> Column:
 
 def house_numbers(address: Column) -> Column:
     """Tokens of digits, with a letter at most, in order, but for the one that is the postcode."""
-    words = address_tokens(address)
-    at = F.array_position(F.transform(words, lambda t, i: (i > 0) & t.rlike(POSTCODE)), F.lit(True))
-    return F.filter(words, lambda t, i: t.rlike(HOUSE_NUMBER) & (i != at - 1))
+    parts = address_tokens(address)
+    at = F.array_position(F.transform(parts, lambda t, i: (i > 0) & t.rlike(POSTCODE)), F.lit(True))
+    return F.filter(parts, lambda t, i: t.rlike(HOUSE_NUMBER) & (i != at - 1))
 
 
 def char_ngrams(text: Column, n: int = 3) -> Column:
     """All substrings of n characters, in order; a shorter text itself; none of an empty text."""
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(n)))
+    # One pass with a lookahead at every place but the middle of a surrogate pair.
+    grams = F.regexp_extract_all(text, F.lit(rf"(?s)(?![\uDC00-\uDFFF])(?=(.{{{n}}}))"), F.lit(1))
+    grams = F.when(F.length(text) < n, F.array(text)).otherwise(grams)
     return F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.array().cast("array<string>")).otherwise(grams)
 
 
 def number_street_keys(address: Column, numbers: Column) -> Column:
     """A house number and the token after it: 221_main."""
-    words = tokens(address)
-    return F.filter(F.transform(words, lambda t, i: F.when(F.array_contains(numbers, t) & (i + 1 < F.size(words)), F.concat(t, F.lit("_"), F.try_element_at(words, i + 2)))), lambda k: k.isNotNull())
+    parts = words(address)
+    # Words beside those one place on; zipped, so that no lambda refers to the whole list.
+    pairs = F.arrays_zip(parts.alias("a"), F.slice(parts, F.lit(2), F.greatest(F.size(parts), F.lit(1))).alias("b"))
+    hits = F.filter(pairs, lambda p: p["b"].isNotNull() & F.array_contains(numbers, p["a"]))
+    return F.transform(hits, lambda p: F.concat(p["a"], F.lit("_"), p["b"]))
 
 
 def word_keys(name: Column, address: Column, numbers: Column) -> Column:
     """The word channel's keys: both fields' tokens and the number keys, in one space of names."""
-    return F.concat(tokens(name), tokens(address), number_street_keys(address, numbers))
+    keyed = F.when(F.size(numbers) > 0, number_street_keys(address, numbers)).otherwise(F.array().cast("array<string>"))
+    return F.concat(words(name), words(address), keyed)
 
 
 def ngram_keys(nospace: Column) -> Column:

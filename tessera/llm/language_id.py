@@ -83,9 +83,12 @@ def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridg
 def training_sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, sample: int) -> DataFrame:
     """At most per_language rows of each language and sample rows in all, by a hash of the id; each language's first rows come first.
 
-    Ranks are cut in every task before rows of a language meet. Texts are fetched for the chosen ids only."""
+    A language's rows are thinned by their hash to a few times as many as are wanted before they meet to be ranked, and texts
+    are fetched for the chosen ids only."""
     order = Window.partitionBy("language").orderBy("place", "id")
-    ids = labelled.select(F.col(lang_col).alias("language"), F.xxhash64(F.col(id_col).cast("string")).alias("place"), F.col(id_col).alias("id"))
+    ids = labelled.select(F.col(lang_col).alias("language"), F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 40)).alias("place"), F.col(id_col).alias("id"))
+    sizes = ids.groupBy("language").agg(F.count("*").alias("n"))
+    ids = ids.join(sizes, "language").where(F.col("place") <= (1 << 40) * (2.0 * per_language + 200) / F.col("n"))
     ids = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language).orderBy("rank", "language").limit(sample)
     chosen = ids.select(F.col("id").alias("_id"), "rank", "language").dropDuplicates(["_id"])
     return labelled.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("rank", "language", "text").limit(2 * sample)

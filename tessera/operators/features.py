@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import fuzzy
 from tessera.functions import similarity as S
-from tessera.functions.text import tokens
+from tessera.functions.text import ngram_keys, words
 
 from .index import key_frequencies
 
@@ -20,20 +20,21 @@ RECORD = ("name_clean", "legal_form", "name_nospace", "address_clean", "postcode
 
 
 def pair_records(pairs: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
-    """pairs with the columns of both records, as a_... and b_..."""
-    a = s1.select("country", F.col("id").alias("s1"), *[F.col(c).alias(f"a_{c}") for c in RECORD])
-    b = pool.select("country", "source", "id", *[F.col(c).alias(f"b_{c}") for c in RECORD])
+    """pairs with the columns of both records, as a_... and b_...; texts are cut into words here, once a record and not once a pair."""
+    cut = {"name_words": words(F.col("name_clean")), "address_words": words(F.col("address_clean")), "name_grams": F.array_distinct(ngram_keys(F.col("name_nospace")))}
+    side = lambda df, x: df.withColumns(cut).select("country", *(["source", "id"] if x == "b" else [F.col("id").alias("s1")]), *[F.col(c).alias(f"{x}_{c}") for c in (*RECORD, *cut)])
+    a, b = side(s1, "a"), side(pool, "b")
     return pairs.join(a, ["country", "s1"]).join(b, ["country", "source", "id"])
 
 
 def feature_idf(pool: DataFrame) -> DataFrame:
     """country, key, idf over the pool's name and address tokens together, without a cap."""
-    return key_frequencies(pool, F.concat(tokens(F.col("name_clean")), tokens(F.col("address_clean"))), ("source", "id")).select("country", "key", "idf")
+    return key_frequencies(pool, F.concat(words(F.col("name_clean")), words(F.col("address_clean"))), ("source", "id")).select("country", "key", "idf")
 
 
 def idf_cosine(records: DataFrame, idf: DataFrame, a: str, b: str, out: str) -> DataFrame:
-    """PAIR and out: cosine of the idf vectors of two texts' distinct tokens. Unknown tokens weigh nothing; a zero norm gives 0."""
-    held = records.select(*PAIR, F.explode(F.array_union(tokens(F.col(a)), tokens(F.col(b)))).alias("key"), tokens(F.col(a)).alias("ta"), tokens(F.col(b)).alias("tb"))
+    """PAIR and out: cosine of the idf vectors of the distinct words in two columns of pair_records(). Unknown tokens weigh nothing; a zero norm gives 0."""
+    held = records.select(*PAIR, F.explode(F.array_union(a, b)).alias("key"), F.col(a).alias("ta"), F.col(b).alias("tb"))
     held = held.select(*PAIR, "key", F.array_contains("ta", F.col("key")).alias("in_a"), F.array_contains("tb", F.col("key")).alias("in_b")).join(idf, ["country", "key"])
     square = F.col("idf") * F.col("idf")
     sums = held.groupBy(*PAIR).agg(F.sum(F.when(F.col("in_a") & F.col("in_b"), square).otherwise(0.0)).alias("num"), F.sum(F.when(F.col("in_a"), square).otherwise(0.0)).alias("na"), F.sum(F.when(F.col("in_b"), square).otherwise(0.0)).alias("nb"))
@@ -42,12 +43,12 @@ def idf_cosine(records: DataFrame, idf: DataFrame, a: str, b: str, out: str) ->
 
 def set_features(records: DataFrame) -> DataFrame:
     """The pair features that built-in functions express, on pair_records()."""
-    ta, tb = tokens(F.col("a_name_clean")), tokens(F.col("b_name_clean"))
-    ua, ub = tokens(F.col("a_address_clean")), tokens(F.col("b_address_clean"))
+    ta, tb = F.col("a_name_words"), F.col("b_name_words")
+    ua, ub = F.col("a_address_words"), F.col("b_address_words")
     return records.withColumns(
         {
             "name_jaccard": S.token_jaccard(ta, tb),
-            "name_ngram_cosine": S.ngram_cosine(F.col("a_name_nospace"), F.col("b_name_nospace")),
+            "name_ngram_cosine": S.set_cosine(F.col("a_name_grams"), F.col("b_name_grams")),
             "name_abbrev_subseq": S.abbreviation_share(ta, tb),
             "name_acronym_match": S.acronym_match(ta, tb, F.col("a_name_nospace"), F.col("b_name_nospace")),
             "legal_form": S.legal_form_code(F.col("a_legal_form"), F.col("b_legal_form")),
@@ -78,7 +79,7 @@ def name_rarity(s1: DataFrame, idf: DataFrame) -> DataFrame:
     """country, s1, s1_name_idf_sum (repeated tokens count each time, unknown ones nothing), s1_name_share_count (S1 records of the
     country with the same clean name, over all S1, before any split)."""
     shared = s1.select("country", F.col("id").alias("s1"), "name_clean", F.count("*").over(Window.partitionBy("country", "name_clean")).alias("s1_name_share_count"))
-    sums = shared.select("country", "s1", F.explode(tokens(F.col("name_clean"))).alias("key")).join(idf, ["country", "key"]).groupBy("country", "s1").agg(F.sum("idf").alias("s1_name_idf_sum"))
+    sums = shared.select("country", "s1", F.explode(words(F.col("name_clean"))).alias("key")).join(idf, ["country", "key"]).groupBy("country", "s1").agg(F.sum("idf").alias("s1_name_idf_sum"))
     return shared.drop("name_clean").join(sums, ["country", "s1"], "left").fillna(0.0, ["s1_name_idf_sum"])
 
 
@@ -101,8 +102,8 @@ def all_features(candidates: DataFrame, competition: DataFrame, s1: DataFrame, p
     """PAIR and the 26 features."""
     idf = feature_idf(pool)
     records = pair_records(candidates.select(*PAIR), s1, pool)
-    text = fuzzy_features(set_features(records)).drop(*[f"{side}_{c}" for side in "ab" for c in RECORD])
+    text = fuzzy_features(set_features(records)).drop(*[f"{side}_{c}" for side in "ab" for c in (*RECORD, "name_words", "address_words", "name_grams")])
     out = text.join(graph_features(candidates, competition), list(PAIR)).join(name_rarity(s1, idf), ["country", "s1"])
-    for a, b, name in (("a_name_clean", "b_name_clean", "name_idf_cosine"), ("a_address_clean", "b_address_clean", "addr_idf_cosine")):
+    for a, b, name in (("a_name_words", "b_name_words", "name_idf_cosine"), ("a_address_words", "b_address_words", "addr_idf_cosine")):
         out = out.join(idf_cosine(records, idf, a, b, name), list(PAIR), "left").fillna(0.0, [name])
     return out.select(*PAIR, *RARITY_FEATURES, *NAME_FEATURES, *ADDRESS_FEATURES, *GRAPH_FEATURES)

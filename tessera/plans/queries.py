@@ -252,7 +252,7 @@ _IDF = "fi AS (SELECT country, key, ln(n / (1 + df)) AS idf FROM (SELECT country
 def pair_idf_cosine(spark: SparkSession, sf: str) -> DataFrame:
     s1, pool = roles.sides(spark, sf)
     rows = features.pair_records(_pairs(spark, sf), s1, pool)
-    return features.idf_cosine(rows, features.feature_idf(pool), "a_name_clean", "b_name_clean", "name_idf_cosine").select(*PAIR, _r("name_idf_cosine"))
+    return features.idf_cosine(rows, features.feature_idf(pool), "a_name_words", "b_name_words", "name_idf_cosine").select(*PAIR, _r("name_idf_cosine"))
 
 
 @query(f"WITH {RECORDS_SQL}, {_IDF}, sh AS (SELECT country, id AS s1, name_tokens, count(*) OVER (PARTITION BY country, name_clean) AS s1_name_share_count FROM s1), su AS (SELECT x.country, x.s1, sum(idf) AS v FROM (SELECT country, s1, unnest(name_tokens) AS key FROM sh) x JOIN fi ON fi.country = x.country AND fi.key = x.key GROUP BY ALL) SELECT sh.country, sh.s1, s1_name_share_count, round(coalesce(v, 0), 6) AS s1_name_idf_sum FROM sh LEFT JOIN su ON su.country = sh.country AND su.s1 = sh.s1")

@@ -31,8 +31,16 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_HELD: dict[tuple[str, str], DataFrame] = {}
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize_records(raw_records(spark, sf_dir))
+    """Normalised records, persisted: both sides of a join, their vocabularies and the features read them. A long-lived pipeline saves them
+    as a stage table instead (sources.tables.save)."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _HELD:
+        _HELD[key] = normalize_records(raw_records(spark, sf_dir))
+    return _HELD[key].persist()
 
 
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
