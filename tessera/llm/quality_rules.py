@@ -128,11 +128,11 @@ def robust_estimates(vectors: DataFrame, core_share: float = CORE_SHARE, steps:
     estimates = materialize(start.select("group", "n_group", F.array(*[F.col(f)[1] for f in FEATURES], *diagonal).alias("estimate")), "mcd")
     for _ in range(steps):
         near = vectors.join(estimates, "group").withColumn("d2", _distance())
-        central = near.groupBy("group").agg(F.percentile_approx("d2", core_share, 2000).alias("bound"))
+        central = materialize(near.groupBy("group").agg(F.percentile_approx("d2", core_share, 2000).alias("bound")), "bounds")
         core = near.join(central, "group").where("d2 <= bound")
         moments = [F.count("*").cast("double"), *[F.sum(f) for f in FEATURES], *[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])) for i in range(d) for j in range(i, d)]]
         after = materialize(core.groupBy("group").agg(F.first("n_group").alias("n_group"), F.array(*moments).alias("moments")).select("group", "n_group", _inverse("moments").alias("estimate")), "mcd")
-        discard(estimates)
+        discard(estimates, central)
         estimates = after
     middle = d * (1 - 2 / (9 * d)) ** 3
     scale = vectors.join(estimates, "group").groupBy("group").agg(F.percentile_approx(_distance(), 0.5, 2000).alias("median"))
