@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -30,12 +31,11 @@ from .common import small_batches
 _PLAIN_BYTES = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: The last character of a word is moved to this private area; it stands for that character with the end-of-word mark.
 _END = 0xE000
-_BLANKS = regex.compile(r"\s+")
 #: Letters that every Unicode version in use knows alike. Texts with others are normalised and cut into words by the
 #: tokenizers library itself, so that its version of Unicode decides; encoding them is the same.
 _SETTLED = regex.compile(r"[\x00-\u052F\u2010-\u2027\u2030-\u205E\u20A0-\u20BF\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5\uAC00-\uD7A3]*")
 #: Bounds of the tables in each worker; a full table is emptied.
-WORD_TABLE, PAIR_TABLE = 500_000, 1_000_000
+WORD_TABLE, PAIR_TABLE = 200_000, 300_000
 
 
 def byte_alphabet() -> list[str]:
@@ -103,7 +103,7 @@ class Tokenizer:
         self.decimal = [str(i) for i in range(self.size)]
         self.path, self._library = path, None
         self.words: dict[str, bytes] = {}
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}
 
     def _symbols(self, token: str) -> str:
         body = token.removesuffix(self.suffix)
@@ -111,9 +111,6 @@ class Tokenizer:
 
     def _fits(self, a: int, b: int) -> bool:
         """True if BPE leaves tokens a and b side by side: no merge across their border comes before those inside them."""
-        key = (a, b)
-        if (known := self.compatible.get(key)) is not None:
-            return known
         pairs, rank, parts = self.pairs, self.rank, self.parts
         left, right, limit, fits = a, b, len(rank) + 1, True
         while True:
@@ -142,7 +139,7 @@ class Tokenizer:
                     break
         if len(self.compatible) >= PAIR_TABLE:
             self.compatible.clear()
-        self.compatible[key] = fits
+        self.compatible[a * self.size + b] = fits
         return fits
 
     def encode_symbols(self, word: str) -> list[int]:
@@ -152,25 +149,32 @@ class Tokenizer:
         for end, token in self.automaton.iter(word[::-1]):
             if longest[n - 1 - end] < 0:  # of the matches at one place, the automaton gives the longest first
                 longest[n - 1 - end] = token
-        fits, out, at, dead = self._fits, [], 0, bytearray(n + 1)
+        fits, known, size = self._fits, self.compatible.get, self.size
+        out: list[int] = []
+        at, dead, last = 0, bytearray(n + 1), -1
         token = longest[0]
-        while at < n:
-            last = out[-1] if out else -1
+        while True:
             while token >= 0:
-                if not dead[at + lengths[token]] and (last < 0 or fits(last, token)):
-                    break
+                if not dead[at + lengths[token]]:
+                    if last < 0:
+                        break
+                    fit = known(last * size + token)
+                    if fit or fit is None and fits(last, token):
+                        break
                 token = shorter[token]
             if token >= 0:
                 out.append(token)
                 at += lengths[token]
-                token = longest[at] if at < n else -1
+                if at == n:
+                    break
+                last, token = token, longest[at]
             else:
                 if not out:
                     raise ValueError("a symbol of the word is not in the vocabulary")
                 dead[at] = 1
                 token = out.pop()
                 at -= lengths[token]
-                token = shorter[token]
+                token, last = shorter[token], out[-1] if out else -1
         return out
 
     def _pieces(self, text: str) -> list[str]:
@@ -180,13 +184,12 @@ class Tokenizer:
             mapped = [p for p, _ in self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))]
             return [bytes([self.byte_of[c] for c in p]).decode("utf-8", "surrogateescape") for p in mapped]
         text = unicodedata.normalize("NFC", text)
-        text = _BLANKS.sub(" ", text)
         # Letter by letter: the capital sigma is never taken as the end of a word.
         return self.pattern.findall(text.replace("Σ", "σ").lower())
 
     def _word(self, piece: str) -> bytes:
         mapped = piece.encode("utf-8", "surrogateescape").decode("latin-1").translate(self.table)
-        ids = np.array(self.encode_symbols(mapped[:-1] + chr(_END + ord(mapped[-1]))), np.int32).tobytes()
+        ids = array("i", self.encode_symbols(mapped[:-1] + chr(_END + ord(mapped[-1])))).tobytes()
         if len(self.words) >= WORD_TABLE:
             self.words.clear()
         if len(piece) <= 64:
