@@ -34,8 +34,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     head = F.substring("bytes", 1, first_bytes)
     groups = rows.select("id", "uid", "len", head.alias("digit")).groupBy("len", "digit").agg(F.count("*").alias("n"), F.max("id").alias("keep"), F.max("uid").alias("group"))
-    groups = groups.where("n > 1").select(F.col("len").alias("g_len"), F.col("digit").alias("g_digit"), "n", "keep", "group")
-    split = rows.join(groups, (F.col("len") == F.col("g_len")) & (head == F.col("g_digit")), "left")
+    # Written first, so that the join below has nothing but exchanges under it and its large partitions can be split;
+    # always by shuffle, as the number of groups grows with the documents.
+    groups = materialize(groups.where("n > 1").select(F.col("len").alias("g_len"), F.col("digit").alias("g_digit"), "n", "keep", "group"), "groups")
+    split = rows.join(groups.hint("merge"), (F.col("len") == F.col("g_len")) & (head == F.col("g_digit")), "left")
     # The text goes on only where a group has more bytes to read.
     more = F.col("n").isNotNull() & (F.col("len") > first_bytes)
     level = materialize(split.select("id", "uid", "sha", "len", "n", F.when(F.col("n").isNotNull(), F.col("keep")).otherwise(F.col("id")).alias("keep"), "group", F.when(more, F.expr(f"substring(bytes, {first_bytes + 1})")).alias("bytes")), "radix")
@@ -46,8 +48,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     while (left := active.agg(F.max(F.octet_length("bytes"))).first()[0]) is not None:
         digit = F.substring("bytes", 1, width)
         keys = active.select("id", "uid", "len", F.col("group").alias("g_group"), digit.alias("g_digit")).groupBy("g_group", "len", "g_digit").agg(F.count("*").alias("g_n"), F.max("id").alias("g_keep"), F.max("uid").alias("g_next"))
-        keys = keys.withColumnRenamed("len", "g_len")
-        split = active.join(keys, F.col("group").eqNullSafe(F.col("g_group")) & (F.col("len") == F.col("g_len")) & (digit == F.col("g_digit")))
+        keys = materialize(keys.withColumnRenamed("len", "g_len"), "groups")
+        split = active.join(keys.hint("merge"), F.col("group").eqNullSafe(F.col("g_group")) & (F.col("len") == F.col("g_len")) & (digit == F.col("g_digit")))
         more = (F.col("g_n") > 1) & (F.octet_length("bytes") > width)
         level = materialize(split.select("id", "uid", "sha", "len", F.col("g_n").alias("n"), F.col("g_keep").alias("keep"), F.col("g_next").alias("group"), F.when(more, F.expr(f"substring(bytes, {width + 1})")).alias("bytes")), "radix")
         done.append(level.where("bytes is null").select("id", "sha", "n", "keep"))
