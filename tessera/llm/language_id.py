@@ -23,6 +23,8 @@ ORDERS = 4
 SIZE = 1 << 16
 #: Bounds of the training sample on the driver: documents of each language, of all, and landmarks among them.
 PER_LANGUAGE, SAMPLE, LANDMARKS = 300, 3000, 400
+#: The largest languages, whose rows are thinned before they are ranked.
+THINNED = 500
 RIDGE = 1e-2
 BATCH = 64
 UNKNOWN = "und"
@@ -87,8 +89,10 @@ def training_sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: s
     are fetched for the chosen ids only."""
     order = Window.partitionBy("language").orderBy("place", "id")
     ids = labelled.select(F.col(lang_col).alias("language"), F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 40)).alias("place"), F.col(id_col).alias("id"))
-    sizes = ids.groupBy("language").agg(F.count("*").alias("n"))
-    ids = ids.join(sizes, "language").where(F.col("place") <= (1 << 40) * (2.0 * per_language + 200) / F.col("n"))
+    large = ids.groupBy("language").agg(F.count("*").alias("n")).where(F.col("n") > 8 * per_language).orderBy(F.desc("n"), "language").limit(THINNED).collect()
+    shares = F.create_map(*[F.lit(x) for r in large for x in (r["language"], float(1 << 40) * (2 * per_language + 200) / r["n"])]) if large else None
+    if shares is not None:
+        ids = ids.where(F.col("place") <= F.coalesce(F.try_element_at(shares, F.col("language")), F.lit(float(1 << 40))))
     ids = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language).orderBy("rank", "language").limit(sample)
     chosen = ids.select(F.col("id").alias("_id"), "rank", "language").dropDuplicates(["_id"])
     return labelled.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("rank", "language", "text").limit(2 * sample)
