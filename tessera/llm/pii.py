@@ -1,15 +1,17 @@
 """Personal data: base patterns, and information-theoretic sanitisation of the terms that give protected entities away.
 
-Entities are the values that the base patterns find. A term (a word of letters, lowered) near an entity discloses it by its
-pointwise mutual information with it, estimated from the whole corpus: with N documents, n(t) that hold the term, n(e) that
-hold the entity and n(t, e) in which the term stands near it, PMI = log2(N n(t, e) / (n(t) n(e))), and the entity's information is
+Entities are the values that the base patterns find. A term (a word of letters, lowered) discloses an entity by its pointwise
+mutual information with it, estimated from the whole corpus: with N documents, n(t) that hold the term, n(e) that hold the
+entity and n(t, e) that hold both, anywhere in the text, PMI = log2(N n(t, e) / (n(t) n(e))), and the entity's information is
 IC = log2(N / n(e)). A term whose PMI is at least `generalise` times IC leaves an attacker too little uncertainty and is
 generalised; from `remove` times on, the term occurs (nearly) nowhere else, and it is removed. Pairs seen in fewer than
-min_support documents are no evidence.
+min_support documents are no evidence. A disclosing term is marked wherever it stands, in texts without the entity too.
 
-One pass over the texts yields, for each document, its base spans and the terms around them, and for each partition the
-number of documents that hold each term (summed in a bounded table before anything is written). The estimates are equi-joins
-and sums over these; pairs are limited by the window of words around an entity, so they grow with the entities found.
+The first pass over the texts yields, for each document, its base spans, entities and (with an entity) terms, and for each
+partition the number of documents that hold each term (summed in a bounded table before anything is written). The estimates are
+equi-joins and sums over these. As n(t, e) <= n(e), no pair with n(t) > n(e)^generalise N^(1 - generalise) can disclose, and
+entities in fewer than min_support documents have no evidence, so such pairs are dropped before they are made. The
+second pass looks up every word in a filter of fixed size over the disclosing terms, and a join on the term decides.
 """
 
 from __future__ import annotations
@@ -27,10 +29,11 @@ from pyspark.sql.types import StringType
 from .common import materialize, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-WINDOW = 5
 GENERALISE, REMOVE = 0.9, 0.999
 MIN_SUPPORT = 2
 TERM_TABLE = 400_000
+#: Bits of the filter over disclosing terms: a fuller one lets more words through to the join, and none is missed.
+FILTER_BITS = 1 << 24
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -85,95 +88,127 @@ def _name(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
-def _near(text: str, spans: list[tuple[int, int, int]], window: int) -> list[tuple[int, int, int, int]]:
-    """(entity, term, start, end) for the terms among the window's words on either side of each entity."""
-    out = []
-    covered = sorted((s, e) for _, s, e in spans)
-
-    def free(a: int, b: int) -> bool:
-        return all(b <= s or e <= a for s, e in covered) if len(covered) < 50 else not any(s < b and a < e for s, e in covered)
-
-    for kind, s, e in spans:
-        value = text[s:e].lower() if kind < 2 else _digits(text[s:e])
-        entity = _name(f"{KINDS[kind]}:{value}")
-        after = [m.span() for m, _ in zip(_TERM.finditer(text, e), range(window))]
-        size = 16 * window
-        while True:  # looks back far enough to find the window's words, but no farther than needed
-            low = max(0, s - size)
-            before = [m.span() for m in _TERM.finditer(text, low, s)]
-            if low == 0 or len(before) > window:
-                break
-            size *= 4
-        before = before[-window:] if low == 0 or len(before) <= window else before[1:][-window:]
-        out += [(entity, _name(text[a:b].lower()), a, b) for a, b in before + after if free(a, b)]
-    return out
-
-
-def _marks(window: int):
-    names = ["id", "text_key", "base", "n_email", "n_ip", "n_card", "n_phone", "near", "term", "n"]
-    fields = ("entity", "term", "start", "end", "new_pair", "new_entity")
-    near_type = pa.list_(pa.struct(list(zip(fields, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int8(), pa.int8())))))
+def _free_terms(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the terms of the whole text that touch no base span."""
+    merged: list[list[int]] = []
+    for s, e in sorted((s, e) for _, s, e in spans):
+        if merged and s < merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], e)
+        else:
+            merged.append([s, e])
+    at = 0
+    for m in _TERM.finditer(text):
+        a, b = m.span()
+        while at < len(merged) and merged[at][1] <= a:
+            at += 1
+        if at == len(merged) or b <= merged[at][0]:
+            yield a, b
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["id", "text_key", "base", "n_email", "n_ip", "n_card", "n_phone", "entities", "words", "term", "n"]
+    longs = pa.list_(pa.int64())
+    held: dict[str, int] = {}
+    id_type = None
+
+    def flush() -> pa.RecordBatch:
+        n = len(held)
+        empty = [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), *[pa.nulls(n, pa.int64())] * 4, *[pa.nulls(n, longs)] * 2]
+        out = pa.RecordBatch.from_arrays([*empty, pa.array([_name(t) for t in held], pa.int64()), pa.array(list(held.values()), pa.int64())], names=names)
+        held.clear()
+        return out
+
+    for batch in batches:
+        id_type = batch.column(0).type
+        rows = []
+        for value in batch.column(1):
+            text = value.as_py() or ""
+            spans = base_spans(text)
+            counts = [0] * 4
+            for kind, _, _ in spans:
+                counts[kind] += 1
+            entities = {_name(f"{KINDS[kind]}:{text[s:e].lower() if kind < 2 else _digits(text[s:e])}") for kind, s, e in spans}
+            words = {text[a:b].lower() for a, b in _free_terms(text, spans)} if spans else ()
+            rows.append((_name(text), ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans), *counts, list(entities), [_name(w) for w in words]))
+            for term in {w.lower() for w in set(_TERM.findall(text))}:
+                held[term] = held.get(term, 0) + 1
+            if len(held) > TERM_TABLE:
+                yield flush()
+        if rows:
+            c = list(zip(*rows))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), *[pa.array(x, pa.int64()) for x in c[2:6]], *[pa.array(x, longs) for x in c[6:]], pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64())], names=names)
+    if held:
+        yield flush()
+
+
+def _occurrences(passing):
+    """Every place of every word that the filter lets through, outside base spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, int] = {}
-        id_type = None
-
-        def flush() -> pa.RecordBatch:
-            n = len(held)
-            empty = [pa.nulls(n, id_type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), *[pa.nulls(n, pa.int64())] * 4, pa.nulls(n, near_type)]
-            out = pa.RecordBatch.from_arrays([*empty, pa.array([_name(t) for t in held], pa.int64()), pa.array(list(held.values()), pa.int64())], names=names)
-            held.clear()
-            return out
-
+        bits = passing.value
+        known: dict[str, int | None] = {}
         for batch in batches:
-            id_type = batch.column(0).type
-            rows = []
-            for value in batch.column(1):
+            rows: list[tuple] = []
+            for i, value in enumerate(batch.column(1)):
                 text = value.as_py() or ""
-                spans = base_spans(text)
-                counts = [0] * 4
-                for kind, _, _ in spans:
-                    counts[kind] += 1
-                near, seen = [], set()
-                for entity, term, start, end in _near(text, spans, window) if spans else ():
-                    near.append((entity, term, start, end, int((entity, term) not in seen), int(entity not in seen)))
-                    seen |= {entity, (entity, term)}
-                rows.append((_name(text), ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans), *counts, near))
-                for term in set(_TERM.findall(text.lower())):
-                    held[term] = held.get(term, 0) + 1
-                if len(held) > TERM_TABLE:
-                    yield flush()
-            if rows:
-                c = list(zip(*rows))
-                near = pa.array([[dict(zip(fields, x)) for x in r] for r in c[6]], near_type)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(c[0], pa.int64()), pa.array(c[1], pa.string()), *[pa.array(x, pa.int64()) for x in c[2:6]], near, pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64())], names=names)
-        if held:
-            yield flush()
+                if len(known) > TERM_TABLE:
+                    known.clear()
+                words = set(_TERM.findall(text))
+                for w in words:
+                    if w in known:
+                        continue
+                    name = _name(w.lower())
+                    bit = name % FILTER_BITS
+                    known[w] = name if bits[bit >> 3] >> (bit & 7) & 1 else None
+                if any(known[w] is not None for w in words):
+                    key = _name(text)
+                    rows += [(i, key, name, a, b) for a, b in _free_terms(text, base_spans(text)) if (name := known[text[a:b]]) is not None]
+            c = list(zip(*rows)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(c[0], pa.int64())), *[pa.array(x, t) for x, t in zip(c[1:], kinds)]], names=["id", "text_key", "term", "start", "end"])
 
     return run
 
 
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, generalise: float = GENERALISE, remove: float = REMOVE, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """One row per row of docs: id, n_email, n_ip, n_card, n_phone, base (spans as kind:start:end), terms (disclosing terms:
-    start, end, removed), and the key of the text.
+def _filter(terms: DataFrame) -> bytes:
+    """FILTER_BITS bits with the places of all terms set, built of bitmaps of 4 KB."""
+    bit = F.pmod(F.col("term"), F.lit(FILTER_BITS))
+    out = bytearray(FILTER_BITS // 8)
+    for part, bitmap in terms.select(F.floor(bit / 32768).alias("part"), (bit % 32768).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit")).collect():
+        out[part * 4096 : (part + 1) * 4096] = bitmap
+    return bytes(out)
+
+
+def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE, remove: float = REMOVE, min_support: int = MIN_SUPPORT) -> DataFrame:
+    """One row per row of docs: id, n_email, n_ip, n_card, n_phone, base (spans as kind:start:end), terms (all places of
+    disclosing terms: start, end, removed), and the key of the text.
 
     Null text counts as empty; empty text has no spans. Ids may repeat or be null: terms belong to the text, so rows with equal
     id and text get equal spans. Only the two named columns are read; an empty table gives an empty result.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     small_batches(docs.sparkSession)
-    schema = f"id {kind}, text_key long, base string, n_email long, n_ip long, n_card long, n_phone long, near array<struct<entity:long,term:long,start:int,end:int,new_pair:tinyint,new_entity:tinyint>>, term long, n long"
-    marks = materialize(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(_marks(window), schema), "marks")
+    schema = f"id {kind}, text_key long, base string, n_email long, n_ip long, n_card long, n_phone long, entities array<long>, words array<long>, term long, n long"
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marks = materialize(texts.mapInArrow(_marks, schema), "marks")
     rows = marks.where("base is not null")
-    near = rows.where(F.size("near") > 0).select("id", "text_key", F.explode("near").alias("x")).select("id", "text_key", "x.*")
-    # Every row of docs counts once for a pair, however often it repeats it.
-    pairs = near.groupBy("entity", "term").agg(F.sum("new_pair").alias("n_both")).where(F.col("n_both") >= min_support)
-    entities = near.groupBy("entity").agg(F.sum("new_entity").alias("n_entity"))
-    terms = marks.where("base is null").groupBy("term").agg(F.sum("n").alias("n_term"))
     total = float(max(rows.count(), 1))
+    terms = marks.where("base is null").groupBy("term").agg(F.sum("n").alias("n_term")).where(F.col("n_term") >= min_support)
+    # Every row of docs counts once for an entity or a pair, however often it repeats it; rows with equal texts are summed first.
+    with_entity = rows.where(F.size("entities") > 0)
+    held = with_entity.select("text_key", F.explode("entities").alias("entity")).groupBy("text_key", "entity").agg(F.count("*").alias("copies"))
+    entities = held.groupBy("entity").agg(F.sum("copies").alias("n_entity")).where(F.col("n_entity") >= min_support)
+    # The largest n(t) with which a term can disclose the entity, and some more for rounding.
+    most = 1.000001 * F.pow("n_entity", F.lit(generalise)) * total ** (1 - generalise) if generalise <= 1 else F.col("n_entity").cast("double")
+    held = materialize(held.join(entities, "entity").withColumn("most", most), "held")
+    tops = held.groupBy("text_key").agg(F.max("most").alias("top"))
+    words = with_entity.join(tops, "text_key").select("text_key", "top", F.explode("words").alias("term")).distinct().join(terms, "term").where(F.col("n_term") <= F.col("top"))
+    pairs = words.join(held, "text_key").where(F.col("n_term") <= F.col("most")).groupBy("entity", "term").agg(F.sum("copies").alias("n_both"), F.max("n_term").alias("n_term"), F.max("n_entity").alias("n_entity")).where(F.col("n_both") >= min_support)
     share = F.log2(total * F.col("n_both") / (F.col("n_term") * F.col("n_entity"))) / F.greatest(F.log2(total / F.col("n_entity")), F.lit(1e-9))
-    disclosing = pairs.join(entities, "entity").join(terms, "term").withColumn("share", share).where(F.col("share") >= generalise).select("entity", "term", (F.col("share") >= remove).alias("removed"))
-    found = near.join(disclosing, ["entity", "term"]).groupBy("id", "text_key", "start", "end").agg(F.max("removed").alias("removed"))
+    disclosing = materialize(pairs.withColumn("share", share).where(F.col("share") >= generalise).groupBy("term").agg(F.max(F.col("share") >= remove).alias("removed")), "disclosing")
+    passing = docs.sparkSession.sparkContext.broadcast(_filter(disclosing))
+    places = texts.mapInArrow(_occurrences(passing), f"id {kind}, text_key long, term long, start int, end int")
+    found = places.join(disclosing, "term").groupBy("id", "text_key", "start", "end").agg(F.max("removed").alias("removed"))
     found = found.groupBy(F.col("id").alias("f_id"), F.col("text_key").alias("f_key")).agg(F.sort_array(F.collect_list(F.struct("start", "end", "removed"))).alias("terms"))
     out = rows.join(found, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("text_key") == F.col("f_key")), "left")
     none = F.array().cast("array<struct<start:int,end:int,removed:boolean>>")

@@ -182,6 +182,19 @@ def test_disclosing_terms(spark):
     assert pii.find_personal_data(docs.limit(0)).count() == 0
 
 
+def test_disclosing_terms_far_from_the_entity(spark):
+    rng = random.Random(4)
+    mail = "who@example.org"
+    rows = [(i, prose(rng, 30)) for i in range(60)]
+    rows += [(100 + i, f"Zorblatt {prose(rng, 20)} zorblatt {prose(rng, 20)} {mail}") for i in range(3)] + [(200, f"{prose(rng, 15)} zorblatt {prose(rng, 15)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    found = {r.doc_id: [text[r.doc_id][t.start : t.end].lower() for t in r.terms] for r in pii.find_personal_data(docs).collect()}
+    assert all(found[100 + i].count("zorblatt") == 2 for i in range(3)) and found[200] == ["zorblatt"]
+    assert not any(found[i] for i in range(60) if "zorblatt" not in text[i])
+    assert not any("zorblatt" in r.text.lower() for r in pii.sanitised_documents(docs).collect())
+
+
 # Language
 
 
