@@ -33,7 +33,7 @@ FEATURES = ("log_words", "log_word_length", "log_distinct_share", "root_symbol_s
 FLOOR = (1.0, 0.15, 0.2, 0.06, 0.15, 0.08)
 CORE_SHARE = 0.75
 STEPS = 4
-#: Groups with fewer documents have no estimate of their own; their documents are judged by the estimate for all groups.
+#: Groups with fewer documents have no estimate of their own; the next level's estimate judges them.
 MIN_GROUP = 100
 #: On the squared distance. A vector of 6 normal variables passes 25 with a chance of 3e-4, and the floor makes that less;
 #: tails of real statistics are heavier, and the stage is to keep clean documents.
@@ -84,7 +84,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [text_statistics(v.as_py() or "") for v in batch.column("text")]
         columns = list(zip(*rows)) or [()] * len(names)
         arrays = [pa.array(c, pa.int64() if i < 5 else pa.float64()) for i, c in enumerate(columns)]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("group"), *arrays], names=["id", "group", *names])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("group"), batch.column("level"), *arrays], names=["id", "group", "level", *names])
 
 
 @F.pandas_udf(ArrayType(DoubleType()))
@@ -143,23 +143,30 @@ def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per row of docs: id, the five counts, base_failed, distance, kept.
 
     Null text has no words (so it fails the base rules). Null group values form groups of their own. Groups with fewer than
-    min_group documents use the estimate over all documents; with no group of that size at all, only the base rules decide
-    (distance null). Repeated rows get equal verdicts. Only the named columns are read. An empty table gives an empty result.
+    min_group documents use the estimate over all groups with the same first group column (the language); if these are too few as
+    well, the scatter of all documents about their groups' medians, put around the group's own median. With fewer than
+    min_group documents in all, only the base rules decide (distance null). Repeated rows get equal verdicts. Only the named columns are read. An empty table gives an empty result.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     small_batches(docs.sparkSession)
-    schema = f"id {kind}, `group` string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, " + ", ".join(f"{f} double" for f in FEATURES)
-    rows = docs.select(F.col(id_col).alias("id"), null_key(*group_cols).alias("group"), F.col(text_col).alias("text"))
+    schema = f"id {kind}, `group` string, level string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, " + ", ".join(f"{f} double" for f in FEATURES)
+    rows = docs.select(F.col(id_col).alias("id"), null_key(*group_cols).alias("group"), F.concat(F.lit("*"), null_key(*group_cols[:1])).alias("level"), F.col(text_col).alias("text"))
     rows = materialize(rows.mapInArrow(_statistics, schema), "statistics")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
-    # Estimates are of documents that pass the base rules; "*" is the group of all.
-    sound = rows.where("not base_failed").select(F.explode(F.array("group", F.lit("*"))).alias("group"), *FEATURES)
+    # Estimates are of documents that pass the base rules; "*" is the group of all, each about the median of its own group.
+    sound = rows.where("not base_failed")
+    medians = materialize(sound.groupBy("group").agg(F.array(*[F.percentile_approx(f, 0.5, 1000) for f in FEATURES]).alias("middle")), "medians")
+    centred = sound.join(medians, "group").select(F.lit("*").alias("group"), *[(F.col(f) - F.col("middle")[i]).alias(f) for i, f in enumerate(FEATURES)])
+    sound = sound.select(F.explode(F.array("group", "level")).alias("group"), *FEATURES).unionByName(centred)
     estimates = materialize(robust_estimates(sound, core_share, steps).where(F.col("n_group") >= min_group), "mcd")
     own = estimates.select("group", F.col("estimate").alias("own_estimate"), F.col("scale").alias("own_scale"))
+    level = estimates.select(F.col("group").alias("level"), F.col("estimate").alias("level_estimate"), F.col("scale").alias("level_scale"))
     general = estimates.where("group = '*'").select(F.lit(1).alias("one"), F.col("estimate").alias("all_estimate"), F.col("scale").alias("all_scale"))
-    judged = rows.withColumn("one", F.lit(1)).join(own, "group", "left").join(F.broadcast(general), "one", "left")  # one row
-    judged = judged.withColumn("estimate", F.coalesce("own_estimate", "all_estimate")).withColumn("distance", _distance() / F.coalesce("own_scale", "all_scale"))
+    judged = rows.withColumn("one", F.lit(1)).join(own, "group", "left").join(level, "level", "left").join(medians, "group", "left").join(F.broadcast(general), "one", "left")  # one row
+    d = len(FEATURES)
+    around = F.concat(F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda i: F.col("middle")[i] + F.col("all_estimate")[i]), F.slice("all_estimate", d + 1, d * d))
+    judged = judged.withColumn("estimate", F.coalesce("own_estimate", "level_estimate", around)).withColumn("distance", _distance() / F.coalesce("own_scale", "level_scale", "all_scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
     return judged.select(F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance", kept.alias("kept"), *FEATURES)
 

@@ -60,6 +60,15 @@ def test_quality_verdicts(spark):
     assert all(r.distance is None and r.kept != r.base_failed for r in few)
 
 
+def test_small_groups_keep_their_clean_documents(spark):
+    rng = random.Random(8)
+    rows = [(i, "en", "a", prose(rng, rng.randint(30, 400))) for i in range(300)]
+    long_words = lambda: " ".join("".join(rng.choice(WORDS) for _ in range(6)) for _ in range(rng.randint(30, 100)))
+    rows += [(1000 + i, "th", "b", long_words()) for i in range(60)] + [(2000, "th", "b", prose(rng, 200).upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    assert {r.doc_id for r in quality_rules.quality_verdicts(docs).collect() if not r.kept} == {2000}
+
+
 def test_distances_equal_numpy(spark):
     """With steps to convergence, the estimate is that of the classical concentration steps over the same rows."""
     rng = np.random.default_rng(3)
