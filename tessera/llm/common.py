@@ -62,6 +62,20 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, "4m")
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """name, with as many underscores after it as it takes to be no column of these frames (names differ in more than case)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """The rows of docs whose id isn't in the one column of gone. Rows without id stay; columns may have any names."""
+    name = free_name("gone", docs)
+    return docs.join(gone.toDF(name), docs[id_col] == F.col(name), "left_anti")
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 

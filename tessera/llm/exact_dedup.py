@@ -2,8 +2,8 @@
 
 Documents are split by their length and first bytes, then each group by its next bytes, until a group is a single
 document or all its texts have ended. Texts are compared byte by byte in the shuffle keys; no digest decides equality.
-The radix grows from round to round, so a text of n bytes takes about log16(n) rounds, and only documents that
-still share everything read so far go to the next round.
+The radix grows from round to round up to a bound, so a text of n bytes takes about log16(n) rounds and one more for every
+MAX_DIGIT bytes, and only documents that still share everything read so far go to the next round.
 """
 
 from __future__ import annotations
@@ -13,10 +13,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, without
 
 FIRST_BYTES = 64
 GROWTH = 16
+#: The widest digit: shuffle keys are no longer than this, and longer texts take a round for each.
+MAX_DIGIT = 1 << 18
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", first_bytes: int = FIRST_BYTES) -> DataFrame:
@@ -42,7 +44,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     more = F.col("n").isNotNull() & (F.col("len") > first_bytes)
     level = materialize(split.select("id", "uid", "sha", "len", "n", F.when(F.col("n").isNotNull(), F.col("keep")).otherwise(F.col("id")).alias("keep"), "group", F.when(more, F.expr(f"substring(bytes, {first_bytes + 1})")).alias("bytes")), "radix")
     done = [level.where("bytes is null").select("id", "sha", F.coalesce("n", F.lit(1)).alias("n"), "keep")]
-    levels, width = [level], first_bytes * GROWTH
+    width = min(first_bytes * GROWTH, MAX_DIGIT)
     active = level.where("bytes is not null")
     # Each round's groups are those of the round before and the next bytes; length is equal within a group.
     while (left := active.agg(F.max(F.octet_length("bytes"))).first()[0]) is not None:
@@ -53,11 +55,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         more = (F.col("g_n") > 1) & (F.octet_length("bytes") > width)
         level = materialize(split.select("id", "uid", "sha", "len", F.col("g_n").alias("n"), F.col("g_keep").alias("keep"), F.col("g_next").alias("group"), F.when(more, F.expr(f"substring(bytes, {width + 1})")).alias("bytes")), "radix")
         done.append(level.where("bytes is null").select("id", "sha", "n", "keep"))
-        levels.append(level)
         active = level.where("bytes is not null")
-        width *= GROWTH
-        if left <= width // GROWTH:
+        if left <= width:
             break
+        width = min(width * GROWTH, MAX_DIGIT)
     out = reduce(DataFrame.unionByName, done)
     kept = F.col("id").eqNullSafe(F.col("keep"))
     return out.select(F.col("id").alias(id_col), F.col("keep").alias("keep_id"), F.col("n").cast("long").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"))
@@ -70,12 +71,11 @@ def repeated_ids(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without copies: of equal texts the row with the largest id stays. All columns are kept as they are.
 
-    Repeated rows (same id and text) leave one row. An id that stands on different texts leaves all of them if one of
+    Repeated rows (same id and text) leave one row. Rows without id stay. Other columns may have any names. An id that stands on different texts leaves all of them if one of
     them is dropped, because ids name documents here.
     """
     verdicts = materialize(exact_groups(docs, id_col, text_col), "copies")
-    gone = verdicts.where("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    left = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    left = without(docs, id_col, verdicts.where("not kept").select(id_col).distinct())
     if verdicts.where("kept and group_size > 1").groupBy(id_col).count().where("count > 1").isEmpty():
         return left
     return left.dropDuplicates([id_col, text_col])

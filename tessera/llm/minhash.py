@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, small_batches
+from .common import discard, materialize, small_batches, without
 from .components import connected_components
 
 ROWS, BANDS = 6, 40
@@ -229,6 +229,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **parameters) -> DataFrame:
-    """docs with one document of each component (the smallest id), all columns unchanged; rows without id stay."""
-    gone = near_duplicates(docs, id_col, **parameters).where("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    """docs with one document of each component (the smallest id), all columns unchanged, whatever their names; rows without id,
+    and all rows of an id that stays, stay."""
+    return without(docs, id_col, near_duplicates(docs, id_col, **parameters).where("not kept").select(id_col))
