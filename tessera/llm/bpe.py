@@ -228,16 +228,17 @@ def tokenizer(path: str) -> Tokenizer:
     return _loaded[path]
 
 
-def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, with_text: bool = False) -> DataFrame:
-    """One row per row of docs: id, n_tokens, ids_sha256, decoded_sha256, and on request token_ids and decoded.
+def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, with_text: bool = False, keep: tuple = ()) -> DataFrame:
+    """One row per row of docs: id, n_tokens, ids_sha256, decoded_sha256, on request token_ids and decoded, and the columns in keep.
 
     Null text is encoded as empty; empty text has no tokens and decodes to an empty text. Texts are encoded whole, one at a
-    time, so memory is bounded by the longest text and the tables above. Only the two named columns are read. path names the
+    time, so memory is bounded by the longest text and the tables above. Only the named columns are read; an empty table gives an empty result, repeated rows give repeated rows. path names the
     tokenizer's file on every executor.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     small_batches(docs.sparkSession)
-    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids + ", decoded string" * with_text
+    kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids + ", decoded string" * with_text + kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
@@ -259,6 +260,7 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                 columns.append(pa.array(ids_out, pa.list_(pa.int32())))
             if with_text:
                 columns.append(pa.array(texts_out, pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * with_ids + ["decoded"] * with_text)
+            columns += batch.columns[2:]
+            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * with_ids + ["decoded"] * with_text + [*keep])
 
-    return docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select(docs[id_col], docs[text_col], *[docs[c] for c in keep]).mapInArrow(run, schema)

@@ -15,10 +15,11 @@ that a source takes in part takes whole buckets, so what is taken misses the tar
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, null_key, word_count
+from .common import free_name, materialize, null_key, word_count
 
 WEIGHTS = (5, 2, 1)
 TILTS = (0.5, 0.0, -0.5)
@@ -84,8 +85,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def in_training_order(docs: DataFrame, id_col: str = "doc_id", **parameters) -> DataFrame:
-    """The rows of docs as often as the mix takes them, range-sorted by training position, with the columns of docs."""
-    whole = docs.select("*", F.struct(*[F.col(c) for c in docs.columns]).alias("_whole_row"))
-    mixed = mix(whole, id_col=id_col, keep=("_whole_row",), **parameters)
-    placed = mixed.select(F.explode("positions").alias("_position"), F.col("_whole_row"), F.col(id_col).alias("_id"))
-    return placed.orderBy("_position", "_id").select("_whole_row.*")
+    """The rows of docs as often as the mix takes them, range-sorted by training position (then id and copy), with the columns of
+    docs, whatever their names. Written as Parquet, the rows stand in this order in files in order of their names;
+    stored_order() gives each its place when they are read again.
+    """
+    row = free_name("whole_row", docs)
+    whole = docs.select(F.struct(*[docs[c].alias(c) for c in docs.columns]).alias(row), docs[id_col].alias(id_col), *[docs[c].alias(c) for c in (parameters.get("text_col", "text"), parameters.get("source_col", "source"))])
+    mixed = mix(whole, id_col=id_col, keep=(row,), **parameters)
+    placed = mixed.select(F.posexplode("positions").alias("copy", "position"), F.col(row).alias("whole_row"))
+    return placed.orderBy("position", F.col("whole_row")[id_col], "copy").select("whole_row.*")
+
+
+def stored_order(docs: DataFrame, name: str) -> DataFrame:
+    """docs, as read from Parquet files that a sorted table was written to, with the column name: a long that rises in the order of
+    the rows as they were written (the file's number in its name, then the row's number in the file).
+
+    Spark reads large files first and small ones together, so the order of reading says nothing. Null if docs isn't
+    read from files, or its files have no number."""
+    try:
+        at = docs.metadataColumn("_metadata")
+        file = F.regexp_extract(at["file_name"], r"part-(\d+)-", 1)
+        return docs.select("*", (file.try_cast("long") * (1 << 40) + at["row_index"]).alias(name))
+    except AnalysisException:
+        return docs.select("*", F.lit(None).cast("long").alias(name))

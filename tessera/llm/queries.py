@@ -16,51 +16,70 @@ def tokenizer_path() -> str:
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded whole: doc_id, n_tokens, ids_sha256, decoded_sha256. Null and empty texts have no tokens;
+    repeated rows give repeated rows; an empty table gives an empty result, here and below."""
     return bpe.encode_documents(documents(spark, sf_dir), tokenizer_path())
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document with a passage of 50 words or more that others have too: see repeated_passages(). Spans as start-end,
+    classes as anchor:start, comma-joined. Null, empty and short texts have no row, repeated rows one."""
     listed = F.array_join(F.transform("passages", lambda p: F.concat(p["start"].cast("string"), F.lit("-"), p["end"].cast("string"))), ",")
-    return substring_dedup.repeated_passages(documents(spark, sf_dir)).withColumn("passages", listed)
+    return substring_dedup.repeated_passages(documents(spark, sf_dir)).withColumns({"passages": listed, "shared": F.array_join("shared", ",")})
 
 
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url and the visible text of every page. Null html gives null; repeated rows give repeated rows."""
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what the mix takes of it, in training order, those that it leaves out last: doc_id, size, source_size, target,
+    taken, copies, first_position. Null texts have size 0, null sources are the last source, repeated rows are taken alike."""
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.withColumn("first_position", F.try_element_at("positions", F.lit(1))).drop("positions").orderBy(F.asc_nulls_last("first_position"), "doc_id")
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the scores of both views and of both together, learned from the labels: see score_quality(). Null and empty
+    texts are scored as empty; equal rows get equal scores."""
     return quality_classifier.score_quality(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data: counts, the digest of the base spans, and all spans, base ones first, then terms by
+    start. Null counts as empty; rows with equal texts get equal spans."""
     found = pii.find_personal_data(documents(spark, sf_dir))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), pii.span_list().alias("spans"))
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per doc_id: n_shingles, component_id, kept. Texts without words have no shingles and are linked with nothing; repeated rows
+    count once."""
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with held_out, lang_pred and score, learned from the others. Texts that are null or have no letter get "und" and 0;
+    rows without id are not held out, but teach nothing; equal texts get equal predictions."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     docs = documents(spark, sf_dir).withColumn("held_out", held_out)
     return language_id.predict(docs, docs.where("not held_out"), keep=("held_out",))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its counts, base_failed, distance and kept: see quality_verdicts(). Null and empty texts have no words and
+    fail; repeated rows get equal verdicts."""
     return quality_rules.quality_verdicts(documents(spark, sf_dir)).drop(*quality_rules.FEATURES)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with keep_id, group_size, kept and text_sha256. Null counts as empty; repeated rows are copies of one another."""
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each copy of a document that the last stage gets: see corpus_pipeline.run()."""
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)

@@ -1,8 +1,8 @@
 import hashlib
 import random
-from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import mixing, quality_rules
 
@@ -42,15 +42,22 @@ def test_pipeline_equals_brute_force(spark, folder):
     kept = {i for i, (_, c) in components.items() if i == c}
     assert len(sound) > len(unique) > len(kept)
     left = docs.where(docs.doc_id.isin(sorted(kept)))
-    copies = {r.doc_id: r.copies for r in mixing.mix(left).collect()}
     library = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     text = {i: t for i, t, *_ in rows}
-    expected = Counter()
-    for i, n in copies.items():
+    # The whole order: documents by position, then id, then copy.
+    places = sorted((p, r.doc_id, k) for r in mixing.mix(left).collect() for k, p in enumerate(r.positions))
+    expected = []
+    for _, i, k in places:
         ids = library.encode(text[i], add_special_tokens=False).ids
-        expected[i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()] += n
-    out = corpus_pipeline.run(spark, path)
-    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in out.collect()) == +expected
+        expected.append((i, k + 1, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        out = corpus_pipeline.run(spark, path).orderBy("training_order").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert [(r.doc_id, r.copy, r.n_tokens, r.ids_sha256) for r in out] == expected
 
 
 def test_stages_keep_the_columns(spark, folder):
@@ -59,6 +66,11 @@ def test_stages_keep_the_columns(spark, folder):
     path, _ = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "near dedup", "mixing", "bpe"]
-    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
-        assert stage(spark, docs, path).columns == docs.columns
+    extra = docs.withColumns({c: F.lit("x") for c in ("gone", "whole_row", "position", "id", "place", "group")})
+    twice = extra.where("doc_id < 40").union(extra.where("doc_id < 3")).union(extra.where("doc_id = 5").withColumn("doc_id", F.lit(None).cast("long")))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, twice, path).columns == twice.columns
+        assert stage(spark, twice, path).where("doc_id is not null").count() > 0
         assert stage(spark, docs.limit(0), path).count() == 0
+    assert corpus_pipeline.encoding_stage(spark, twice, path).where("training_order is null").count() == twice.count()
+    assert corpus_pipeline.encoding_stage(spark, docs.limit(0), path).count() == 0
