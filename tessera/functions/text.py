@@ -29,13 +29,44 @@ def is_latin(token: str) -> bool:
     return token.isascii() or all(unicodedata.name(c, "LATIN").startswith("LATIN") for c in token if c.isalpha())
 
 
-#: Romanisation of letters by the words of their Unicode names: "DEVANAGARI LETTER KA" is ka, without its vowel before a vowel sign.
+#: Indic letters by the words of their Unicode names: "DEVANAGARI LETTER KA" is ka, without its vowel before a vowel sign.
 _INHERENT = ("DEVANAGARI", "BENGALI", "GURMUKHI", "GUJARATI", "ORIYA", "TAMIL", "TELUGU", "KANNADA", "MALAYALAM")
 _SIGNS = {"AA": "a", "I": "i", "II": "i", "U": "u", "UU": "u", "E": "e", "EE": "e", "AI": "ai", "O": "o", "OO": "o", "AU": "au", "VOCALIC R": "ri"}
+# Sounds of letters by common romanisations (Cyrillic, Greek, and Korean initials, vowels and finals in Unicode's order).
+_CYRILLIC = dict(zip("абвгдеёжзийклмнопрстуфхцчшщъыьэюяіїєґўђјљњћџ", "a b v g d e e zh z i y k l m n o p r s t u f kh ts ch sh shch - y - e yu ya i yi ye g u dj j lj nj c dz".replace("-", "").split(" ")))
+_GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a v g d e z i th i k l m n x o p r s s t y f ch ps o".split()))
+_INITIALS = "g kk n d tt r m b pp s ss  j jj ch k t p h".split(" ")
+_VOWELS = "a ae ya yae eo e yeo ye o wa wae oe yo u wo we wi yu eu ui i".split(" ")
+_FINALS = " k k k n n n t l k m l l l p l m p p t t ng t t k t p t".split(" ")
+#: Other scripts' letters by the last word of their names, where that is a letter's sound and not its own name.
+_BY_SOUND = ("HIRAGANA", "KATAKANA", "THAI", "LAO", "GEORGIAN", "ARMENIAN", "ETHIOPIC", "KHMER", "MYANMAR", "SINHALA", "TIBETAN")
+_ABJAD = {"ALEF": "a", "BEH": "b", "TEH": "t", "THEH": "th", "JEEM": "j", "HAH": "h", "KHAH": "kh", "DAL": "d", "THAL": "dh", "REH": "r", "ZAIN": "z", "SEEN": "s", "SHEEN": "sh", "SAD": "s", "DAD": "d", "TAH": "t", "ZAH": "z", "AIN": "a", "GHAIN": "gh", "FEH": "f", "QAF": "q", "KAF": "k", "LAM": "l", "MEEM": "m", "NOON": "n", "HEH": "h", "WAW": "w", "YEH": "y", "MARBUTA": "a", "MAKSURA": "a", "HAMZA": "", "PEH": "p", "TCHEH": "ch", "GAF": "g", "KEHEH": "k",
+          "BET": "b", "GIMEL": "g", "DALET": "d", "HE": "h", "VAV": "v", "ZAYIN": "z", "HET": "h", "TET": "t", "YOD": "y", "LAMED": "l", "MEM": "m", "NUN": "n", "SAMEKH": "s", "AYIN": "a", "PE": "p", "TSADI": "ts", "QOF": "q", "RESH": "r", "SHIN": "sh", "TAV": "t"}
+
+
+def _letter(c: str) -> str:
+    """A letter of a script without inherent vowels. Han letters, whose sound depends on the language, and all others without a sound
+    here are named by their code point, so that no word is lost and different words stay different."""
+    low = c.lower()
+    if low in _CYRILLIC or low in _GREEK:
+        return _CYRILLIC.get(low, _GREEK.get(low, ""))
+    code = ord(c) - 0xAC00
+    if 0 <= code < 11172:
+        return _INITIALS[code // 588] + _VOWELS[code % 588 // 28] + _FINALS[code % 28]
+    name = unicodedata.name(c, "").split(" ")
+    plain = unicodedata.normalize("NFKD", c)
+    if plain != c and plain[0] != c:
+        return "".join(x if x.isascii() else _letter(x) for x in plain if not unicodedata.combining(x))
+    if name[0] in ("ARABIC", "HEBREW"):
+        return next((_ABJAD[w] for w in reversed(name) if w in _ABJAD), f"u{ord(c):x}")
+    if name[0] in _BY_SOUND:
+        return name[-1].lower()
+    return f"u{ord(c):x}"
 
 
 def romanize(token: str) -> str:
-    """Latin letters for a token of another script, from the names of its characters; what has no such name is left out."""
+    """Latin letters for a token of another script: Indic letters by their names, others by tables of sounds, Korean syllables by
+    their parts. No token with a letter is lost."""
     out: list[str] = []
     for c in token:
         if c.isascii():
@@ -57,13 +88,13 @@ def romanize(token: str) -> str:
             out.append("h")
         elif "DIGIT" in words:
             out.append(str(unicodedata.digit(c, "")))
-        elif "LETTER" in words:
+        elif indic and "LETTER" in words:
             letter = words[words.index("LETTER") + 1 :]
-            sound = _SIGNS.get(" ".join(letter)) or letter[-1].lower() if indic else letter[-1].lower()
-            out.append(sound)
+            out.append(_SIGNS.get(" ".join(letter)) or letter[-1].lower())
+        elif c.isalpha():
+            out.append(_letter(c))
         else:
-            plain = unicodedata.normalize("NFKD", c)
-            out.append("".join(x for x in plain if x.isascii()))
+            out.append("".join(x for x in unicodedata.normalize("NFKD", c) if x.isascii()))
     text = "".join(out)
     # The last consonant's inherent vowel isn't spoken.
     if text.endswith("a") and len(token) > 1 and unicodedata.name(token[-1], "").startswith(_INHERENT) and "SIGN" not in unicodedata.name(token[-1], ""):
@@ -80,6 +111,10 @@ def transliterate(dictionary: dict[str, str] | None = None, fallback=romanize):
         out = []
         for text in texts:
             tokens = (text or "").split()
+            # Most texts have no letter of another script at all, which their distinct characters tell.
+            if not text or text.isascii() or is_latin("".join(set(text))):
+                out.append((" ".join(tokens), False))
+                continue
             foreign = [not is_latin(t) for t in tokens]
             done = [(table.get(t.lower()) or fallback(t)) if f else t for t, f in zip(tokens, foreign)]
             out.append((" ".join(done), any(foreign)))

@@ -33,12 +33,24 @@ def weighted(records: DataFrame, keys: Column, ids: tuple[str, ...], vocab: Data
     return held.withColumn("norm", norm).withColumn("w", F.col("idf") / F.when(F.col("norm") == 0, 1.0).otherwise(F.col("norm"))).drop("norm", "idf")
 
 
+def _pair_scores(queries: DataFrame, pool: DataFrame, keys: Column, cap: int) -> DataFrame:
+    """s1, source, id, score. Between the postings and the sums only numbers are shuffled: a key goes by 96 bits of hashes of it and its
+    country, and S1 records go by their ids, which are unique over the countries."""
+    vocab = vocabulary(pool, keys, ("source", "id"), cap)
+    short = [F.xxhash64("country", "key").alias("k"), F.hash("country", "key").alias("c")]
+    p = weighted(pool, keys, ("source", "id"), vocab).select(*short, "source", "id", F.col("w").alias("pw"))
+    q = weighted(queries.withColumnRenamed("id", "s1"), keys, ("s1",), vocab).select(*short, "s1", F.col("w").alias("qw"))
+    return q.join(p, ["k", "c"]).groupBy("s1", "source", "id").agg(F.sum(F.col("qw") * F.col("pw")).alias("score"))
+
+
+def _with_country(rows: DataFrame, queries: DataFrame) -> DataFrame:
+    own = queries.select(F.col("id").alias("s1"), "country")
+    return rows.join(own, "s1").select("country", "s1", "source", "id", *[c for c in rows.columns if c not in ("s1", "source", "id")])
+
+
 def channel_scores(queries: DataFrame, pool: DataFrame, keys: Column, cap: int) -> DataFrame:
     """country, s1, source, id, score: the dot products of S1 records and pool records that share a key."""
-    vocab = vocabulary(pool, keys, ("source", "id"), cap)
-    p = weighted(pool, keys, ("source", "id"), vocab).withColumnRenamed("w", "pw")
-    q = weighted(queries.withColumnRenamed("id", "s1"), keys, ("s1",), vocab).withColumnRenamed("w", "qw")
-    return q.join(p, ["country", "key"]).groupBy("country", "s1", "source", "id").agg(F.sum(F.col("qw") * F.col("pw")).alias("score"))
+    return _with_country(_pair_scores(queries, pool, keys, cap), queries)
 
 
 def top_k(scores: DataFrame, k: int, score: str = "score", rank: str = "rank", by: tuple[str, ...] = ("country", "s1"), ties: tuple[str, ...] = ("source", "id")) -> DataFrame:
@@ -48,4 +60,4 @@ def top_k(scores: DataFrame, k: int, score: str = "score", rank: str = "rank", b
 
 
 def channel_top_k(queries: DataFrame, pool: DataFrame, keys: Column, cap: int, k: int = TOP_K) -> DataFrame:
-    return top_k(channel_scores(queries, pool, keys, cap), k)
+    return _with_country(top_k(_pair_scores(queries, pool, keys, cap), k, by=("s1",)), queries)

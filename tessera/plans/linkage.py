@@ -17,9 +17,18 @@ def lexical_channels(s1: DataFrame, pool: DataFrame, word_cap: int = index.WORD_
     return [index.channel_top_k(s1, pool, words, word_cap, k), index.channel_top_k(s1, pool, ngram_keys(F.col("name_nospace")), ngram_cap, k)]
 
 
+def exact_channel(s1: DataFrame, pool: DataFrame, k: int = index.TOP_K) -> DataFrame:
+    """The first k pool records, by source and id, with the S1 record's own clean name and address. The pool is cut before it meets the
+    S1 records, so a group of equal records makes k pairs for each of them; texts meet by a hash, as any candidate is only a candidate."""
+    key = F.xxhash64("name_clean", "address_clean").alias("key")
+    first = index.top_k(pool.select("country", key, "source", "id").withColumn("score", F.lit(1.0)), k, by=("country", "key"))
+    return s1.select("country", F.col("id").alias("s1"), key).join(first, ["country", "key"]).select("country", "s1", "source", "id", "score", "rank")
+
+
 def block(s1: DataFrame, pool: DataFrame, k: int, dense: DataFrame | None = None, **caps) -> tuple[DataFrame, DataFrame]:
-    """(candidates cut to k, competition over all S1 before the cut). dense: another channel, such as exact_knn's."""
-    channels = lexical_channels(s1, pool, **caps)
+    """(candidates cut to k, competition over all S1 before the cut), from the lexical and the exact channels. dense: another
+    channel, such as exact_knn's."""
+    channels = [*lexical_channels(s1, pool, **caps), exact_channel(s1, pool)]
     fused = blocking.fuse(channels + ([dense] if dense is not None else []))
     return blocking.prune(fused, k), blocking.competition(fused)
 

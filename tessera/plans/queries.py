@@ -7,15 +7,17 @@ from pyspark.sql import functions as F
 
 from tessera.functions import fuzzy
 from tessera.functions import text as T
+from tessera.functions.ids import config_hash, triple_key
 from tessera.operators import blocking, decide, dense, dictionaries, features, index, metrics, models, sampling, validate
 from tessera.sources import tables
 
 from . import roles
-from .linkage import MAX_COUNTRY_DROP, MIN_IMPROVEMENT
+from .linkage import exact_channel, passes_gate
 from .roles import NGRAM_KEYS_SQL, RECORDS_SQL, WORD_KEYS_SQL, channel_sql
 
-# Parameters of the queries: caps and cuts of the channels, candidates for each S1, and the budget of the second stage.
-WORD_CAP, NGRAM_CAP, CUT, K, BUDGET = 200, 200, 20, 10, 300
+# Parameters of the queries: the operators' own caps and cut of the channels, the candidate lists' length, the length that cnp_k_choice
+# settles on (pair features and decisions take that), and the budget of the second stage.
+WORD_CAP, NGRAM_CAP, CUT, K_LIST, K, BUDGET = index.WORD_CAP, index.NGRAM_CAP, index.TOP_K, max(blocking.K_GRID), min(blocking.K_GRID), 300
 PAIR = ["country", "s1", "source", "id"]
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -45,7 +47,8 @@ def _channel(spark, sf, keys, cap):
 
 
 def _fused(spark, sf):
-    return blocking.fuse([_channel(spark, sf, _word_keys(), WORD_CAP), _channel(spark, sf, _ngram_keys(), NGRAM_CAP)])
+    # Pruning and competition both read it.
+    return blocking.fuse([_channel(spark, sf, _word_keys(), WORD_CAP), _channel(spark, sf, _ngram_keys(), NGRAM_CAP), exact_channel(*roles.sides(spark, sf), CUT)]).persist()
 
 
 def _r(c: str, digits: int = 6):
@@ -53,7 +56,7 @@ def _r(c: str, digits: int = 6):
 
 
 _WORD, _NGRAM = channel_sql("word", WORD_KEYS_SQL, WORD_CAP, CUT), channel_sql("gram", NGRAM_KEYS_SQL, NGRAM_CAP, CUT)
-_FUSED = f"WITH {RECORDS_SQL}, {_WORD}, {_NGRAM}, ranked AS (SELECT country, s1, source, id, rank FROM word_top UNION ALL SELECT country, s1, source, id, rank FROM gram_top), fused AS (SELECT country, s1, source, id, sum(1.0::DOUBLE / (60 + rank)) AS rrf FROM ranked GROUP BY ALL), cand AS (SELECT *, row_number() OVER (PARTITION BY country, s1 ORDER BY round(rrf, 9) DESC, source, id) AS rank FROM fused)"
+_FUSED = f"WITH {RECORDS_SQL}, {_WORD}, {_NGRAM}, same AS (SELECT country, name_clean, address_clean, source, id, row_number() OVER (PARTITION BY country, name_clean, address_clean ORDER BY source, id) AS rank FROM pool QUALIFY rank <= {CUT}), ranked AS (SELECT country, s1, source, id, rank FROM word_top UNION ALL SELECT country, s1, source, id, rank FROM gram_top UNION ALL SELECT s1.country, s1.id AS s1, same.source, same.id, same.rank FROM s1 JOIN same ON s1.country = same.country AND s1.name_clean = same.name_clean AND s1.address_clean = same.address_clean), fused AS (SELECT country, s1, source, id, sum(1.0::DOUBLE / (60 + rank)) AS rrf FROM ranked GROUP BY ALL), cand AS (SELECT *, row_number() OVER (PARTITION BY country, s1 ORDER BY round(rrf, 9) DESC, source, id) AS rank FROM fused)"
 #: Pairs with a probability: the 3-gram channel's cosine, so that SQL can follow.
 _PROB = f"WITH {RECORDS_SQL}, {_NGRAM}, pairs AS (SELECT country, s1, source, id, rank, least(1.0, greatest(0.0, round(score, 6))) AS prob FROM gram_top WHERE rank <= {K})"
 
@@ -161,9 +164,9 @@ def channel_topk_ngram(spark: SparkSession, sf: str) -> DataFrame:
     return _channel(spark, sf, _ngram_keys(), NGRAM_CAP).select(*PAIR, "rank", _r("score"))
 
 
-@query(f"{_FUSED} SELECT country, s1, source, id, rank, round(rrf, 6) AS rrf FROM cand WHERE rank <= {K}")
+@query(f"{_FUSED} SELECT country, s1, source, id, rank, round(rrf, 6) AS rrf FROM cand WHERE rank <= {K_LIST}")
 def rrf_cnp_candidates(spark: SparkSession, sf: str) -> DataFrame:
-    return blocking.prune(_fused(spark, sf), K).select(*PAIR, "rank", _r("rrf"))
+    return blocking.prune(_fused(spark, sf), K_LIST).select(*PAIR, "rank", _r("rrf"))
 
 
 @query(f"{_FUSED}, o AS (SELECT *, row_number() OVER (PARTITION BY country, source, id ORDER BY rrf DESC, s1) AS rn FROM fused) SELECT country, source, id, round(max(rrf), 6) AS best, round(coalesce(max(CASE WHEN rn = 2 THEN rrf END), 0), 6) AS second, count(*) AS rivals FROM o GROUP BY country, source, id")
@@ -171,14 +174,14 @@ def competing_s1_stats(spark: SparkSession, sf: str) -> DataFrame:
     return blocking.competition(_fused(spark, sf)).select("country", "source", "id", _r("best"), _r("second"), "rivals")
 
 
-@query(f"{_FUSED}, c AS (SELECT * FROM cand WHERE rank <= {K}), h AS (SELECT c.country, count(*) AS hits FROM c JOIN truth t USING (country, s1, source, id) GROUP BY 1), a AS (SELECT country, count(*) AS n_s1 FROM s1 GROUP BY 1), b AS (SELECT country, count(*) AS n_pool FROM pool GROUP BY 1), d AS (SELECT country, count(*) AS n_true FROM truth GROUP BY 1), e AS (SELECT country, count(*) AS n_cand FROM c GROUP BY 1) SELECT country, coalesce(n_s1, 0) AS n_s1, coalesce(n_pool, 0) AS n_pool, coalesce(hits, 0) AS hits, coalesce(n_true, 0) AS n_true, coalesce(n_cand, 0) AS n_cand, round(CASE WHEN coalesce(n_true, 0) = 0 THEN 1.0::DOUBLE ELSE coalesce(hits, 0) / n_true END, 6) AS pc, round(CASE WHEN coalesce(n_s1 * n_pool, 0) = 0 THEN 0.0::DOUBLE ELSE 1 - coalesce(n_cand, 0) / (n_s1 * n_pool) END, 6) AS rr, round(CASE WHEN coalesce(n_cand, 0) = 0 THEN 0.0::DOUBLE ELSE coalesce(hits, 0) / n_cand END, 6) AS pq FROM a FULL JOIN b USING (country) LEFT JOIN d USING (country) LEFT JOIN e USING (country) LEFT JOIN h USING (country)")
+@query(f"{_FUSED}, c AS (SELECT * FROM cand WHERE rank <= {K_LIST}), h AS (SELECT c.country, count(*) AS hits FROM c JOIN truth t USING (country, s1, source, id) GROUP BY 1), a AS (SELECT country, count(*) AS n_s1 FROM s1 GROUP BY 1), b AS (SELECT country, count(*) AS n_pool FROM pool GROUP BY 1), d AS (SELECT country, count(*) AS n_true FROM truth GROUP BY 1), e AS (SELECT country, count(*) AS n_cand FROM c GROUP BY 1) SELECT country, coalesce(n_s1, 0) AS n_s1, coalesce(n_pool, 0) AS n_pool, coalesce(hits, 0) AS hits, coalesce(n_true, 0) AS n_true, coalesce(n_cand, 0) AS n_cand, round(CASE WHEN coalesce(n_true, 0) = 0 THEN 1.0::DOUBLE ELSE coalesce(hits, 0) / n_true END, 6) AS pc, round(CASE WHEN coalesce(n_s1 * n_pool, 0) = 0 THEN 0.0::DOUBLE ELSE 1 - coalesce(n_cand, 0) / (n_s1 * n_pool) END, 6) AS rr, round(CASE WHEN coalesce(n_cand, 0) = 0 THEN 0.0::DOUBLE ELSE coalesce(hits, 0) / n_cand END, 6) AS pq FROM a FULL JOIN b USING (country) LEFT JOIN d USING (country) LEFT JOIN e USING (country) LEFT JOIN h USING (country)")
 def blocking_quality(spark: SparkSession, sf: str) -> DataFrame:
     s1, pool = roles.sides(spark, sf)
-    return blocking.quality(blocking.prune(_fused(spark, sf), K), roles.truth(s1, pool), s1, pool).withColumns({c: F.round(c, 6) for c in ("pc", "rr", "pq")})
+    return blocking.quality(blocking.prune(_fused(spark, sf), K_LIST), roles.truth(s1, pool), s1, pool).withColumns({c: F.round(c, 6) for c in ("pc", "rr", "pq")})
 
 
-_GRID = (1, 2, 3, 5, 10)
-_RECALL = f"{_FUSED}, hr AS (SELECT t.*, c.rank AS r FROM truth t LEFT JOIN cand c USING (country, s1, source, id)), rec_k AS (SELECT k, coalesce(avg(CASE WHEN r <= k THEN 1.0 ELSE 0.0 END), 1.0) AS recall FROM (SELECT unnest([1, 2, 3, 5, 10]) AS k) LEFT JOIN hr ON true GROUP BY k)"
+_GRID = blocking.K_GRID
+_RECALL = f"{_FUSED}, hr AS (SELECT t.*, c.rank AS r FROM truth t LEFT JOIN cand c USING (country, s1, source, id)), rec_k AS (SELECT k, coalesce(avg(CASE WHEN r <= k THEN 1.0 ELSE 0.0 END), 1.0) AS recall FROM (SELECT unnest({list(_GRID)}) AS k) LEFT JOIN hr ON true GROUP BY k)"
 
 
 @query(f"{_RECALL} SELECT k, round(recall, 6) AS recall FROM rec_k")
@@ -248,11 +251,21 @@ def pair_set_features(spark: SparkSession, sf: str) -> DataFrame:
 _IDF = "fi AS (SELECT country, key, ln(n / (1 + df)) AS idf FROM (SELECT country, key, count(*) AS df FROM (SELECT DISTINCT country, source, id, unnest(list_concat(name_tokens, address_tokens)) AS key FROM pool) GROUP BY ALL) JOIN (SELECT country, count(*) AS n FROM pool GROUP BY 1) USING (country))"
 
 
-@query(f"{_REC_PAIRS}, {_IDF}, ex AS (SELECT country, s1, source, id, at_, bt, unnest(list_distinct(list_concat(at_, bt))) AS key FROM rp), m AS (SELECT e.country, e.s1, e.source, e.id, idf * idf AS sq, list_contains(at_, e.key) AS ia, list_contains(bt, e.key) AS ib FROM ex e JOIN fi ON fi.country = e.country AND fi.key = e.key), g AS (SELECT country, s1, source, id, sum(CASE WHEN ia AND ib THEN sq ELSE 0 END) AS num, sum(CASE WHEN ia THEN sq ELSE 0 END) AS na, sum(CASE WHEN ib THEN sq ELSE 0 END) AS nb FROM m GROUP BY ALL) SELECT country, s1, source, id, round(CASE WHEN na > 0 AND nb > 0 THEN num / sqrt(na * nb) ELSE 0 END, 6) AS name_idf_cosine FROM g")
+def _cosine_sql(name: str, a: str, b: str) -> str:
+    side = "SELECT country, s1, source, id, unnest(list_distinct({})) AS key FROM rp"
+    return f"""{name}_m AS (SELECT country, s1, source, id, key, x.s1 IS NOT NULL AS ia, y.s1 IS NOT NULL AS ib FROM ({side.format(a)}) x FULL JOIN ({side.format(b)}) y USING (country, s1, source, id, key)),
+{name}_w AS (SELECT m.*, idf * idf AS sq FROM {name}_m m JOIN fi ON fi.country = m.country AND fi.key = m.key),
+{name} AS (SELECT s1, source, id, CASE WHEN sum(CASE WHEN ia THEN sq ELSE 0 END) > 0 AND sum(CASE WHEN ib THEN sq ELSE 0 END) > 0 THEN sum(CASE WHEN ia AND ib THEN sq ELSE 0 END) / sqrt(sum(CASE WHEN ia THEN sq ELSE 0 END) * sum(CASE WHEN ib THEN sq ELSE 0 END)) ELSE 0.0 END AS v FROM {name}_w GROUP BY ALL)"""
+
+
+@query(f"{_REC_PAIRS}, {_IDF}, {_cosine_sql('nc', 'at_', 'bt')}, {_cosine_sql('ac', 'aat', 'bat')} SELECT rp.country, rp.s1, rp.source, rp.id, round(coalesce(nc.v, 0), 6) AS name_idf_cosine, round(coalesce(ac.v, 0), 6) AS addr_idf_cosine FROM rp LEFT JOIN nc USING (s1, source, id) LEFT JOIN ac USING (s1, source, id)")
 def pair_idf_cosine(spark: SparkSession, sf: str) -> DataFrame:
     s1, pool = roles.sides(spark, sf)
-    rows = features.pair_records(_pairs(spark, sf), s1, pool)
-    return features.idf_cosine(rows, features.feature_idf(pool), "a_name_words", "b_name_words", "name_idf_cosine").select(*PAIR, _r("name_idf_cosine"))
+    rows, idf = features.pair_records(_pairs(spark, sf), s1, pool), features.feature_idf(pool)
+    out = rows.select(*PAIR)
+    for a, b, name in (("a_name_words", "b_name_words", "name_idf_cosine"), ("a_address_words", "b_address_words", "addr_idf_cosine")):
+        out = out.join(features.idf_cosine(rows, idf, a, b, name), PAIR, "left").fillna(0.0, [name])
+    return out.select(*PAIR, _r("name_idf_cosine"), _r("addr_idf_cosine"))
 
 
 @query(f"WITH {RECORDS_SQL}, {_IDF}, sh AS (SELECT country, id AS s1, name_tokens, count(*) OVER (PARTITION BY country, name_clean) AS s1_name_share_count FROM s1), su AS (SELECT x.country, x.s1, sum(idf) AS v FROM (SELECT country, s1, unnest(name_tokens) AS key FROM sh) x JOIN fi ON fi.country = x.country AND fi.key = x.key GROUP BY ALL) SELECT sh.country, sh.s1, s1_name_share_count, round(coalesce(v, 0), 6) AS s1_name_idf_sum FROM sh LEFT JOIN su ON su.country = sh.country AND su.s1 = sh.s1")
@@ -261,9 +274,9 @@ def name_rarity(spark: SparkSession, sf: str) -> DataFrame:
     return features.name_rarity(s1, features.feature_idf(pool)).select("country", "s1", "s1_name_share_count", _r("s1_name_idf_sum"))
 
 
-@query(f"{_REC_PAIRS} SELECT country, s1, source, id, round(jaro_winkler_similarity(an, bn), 6) AS name_jaro_winkler FROM rp WHERE an <> '' AND bn <> ''")
+@query(f"{_REC_PAIRS} SELECT country, s1, source, id, CASE WHEN an = bn THEN 1.0::DOUBLE WHEN an = '' OR bn = '' THEN 0.0 ELSE round(jaro_winkler_similarity(an, bn), 6) END AS name_jaro_winkler FROM rp")
 def pair_jaro_winkler(spark: SparkSession, sf: str) -> DataFrame:
-    rows = features.pair_records(_pairs(spark, sf), *roles.sides(spark, sf)).where("a_name_clean <> '' and b_name_clean <> ''")
+    rows = features.pair_records(_pairs(spark, sf), *roles.sides(spark, sf))
     return rows.select(*PAIR, F.round(fuzzy.winkler(F.col("a_name_clean"), F.col("b_name_clean")), 6).alias("name_jaro_winkler"))
 
 
@@ -332,9 +345,9 @@ def macro_f05_by_partition(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.macro_f05(_predicted(spark, sf), _truth(spark, sf), _s1_ids(spark, sf), by="country").select("country", _r("score"))
 
 
-@query(f"{_PROB}, r AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY prob DESC, source, id) AS prob_rank FROM pairs) SELECT country, s1, source, id, prob, prob_rank FROM r WHERE prob_rank <= 5 AND prob <= 0.97")
+@query(f"{_PROB}, r AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY prob DESC, source, id) AS prob_rank FROM pairs) SELECT country, s1, source, id, prob, prob_rank FROM r WHERE prob_rank <= 10 AND prob <= 0.97")
 def uncertain_band(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.uncertain_band(decide.rank_in_s1(_pairs(spark, sf)), max_rank=5).select(*PAIR, "prob", "prob_rank")
+    return sampling.uncertain_band(decide.rank_in_s1(_pairs(spark, sf)), max_rank=10).select(*PAIR, "prob", "prob_rank")
 
 
 @query(f"{_PROB}, r AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY prob DESC, source, id) AS prob_rank FROM pairs) SELECT country, s1, source, id, prob, prob_rank FROM r WHERE prob BETWEEN 0.15 AND 0.85 OR (prob_rank = 1 AND prob BETWEEN 0.35 AND 0.65)")
@@ -361,9 +374,9 @@ def label_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return features.label_pairs(_pairs(spark, sf), _truth(spark, sf)).select(*PAIR, "label")
 
 
-@query(f"{_LABELLED} SELECT country, s1, source, id, rank FROM lab WHERE label = 0 AND rank <= 5")
+@query(f"{_LABELLED} SELECT country, s1, source, id, rank FROM lab WHERE label = 0 AND rank <= 10")
 def hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.hard_negatives(_pairs(spark, sf), _truth(spark, sf), 5).select(*PAIR, "rank")
+    return sampling.hard_negatives(_pairs(spark, sf), _truth(spark, sf)).select(*PAIR, "rank")
 
 
 @query(f"{_LABELLED}, st AS (SELECT round(prob, 9) AS s, sum(label) AS hits, count(*) AS n FROM lab GROUP BY 1), cu AS (SELECT *, sum(hits) OVER w AS ch, sum(n) OVER w AS cn, sum(hits) OVER () AS t FROM st WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING)) SELECT round(coalesce(sum(CASE WHEN t > 0 THEN ch / cn * hits / t END), 0), 6) AS ap FROM cu")
@@ -400,9 +413,9 @@ def explode_ground_truth(spark: SparkSession, sf: str) -> DataFrame:
     return tables.explode_truth(format_match_lists(spark, sf)).select("s1", F.col("source").cast("int").alias("source"), "id")
 
 
-@query(f"{_FUSED} SELECT 'S1-' || s1 AS source1_entity_id, string_agg('S' || source || '-' || id, ',' ORDER BY rank) AS candidate_entity_ids FROM cand WHERE rank <= {K} GROUP BY s1")
+@query(f"{_FUSED} SELECT 'S1-' || s1 AS source1_entity_id, string_agg('S' || source || '-' || id, ',' ORDER BY rank) AS candidate_entity_ids FROM cand WHERE rank <= {K_LIST} GROUP BY s1")
 def format_candidate_lists(spark: SparkSession, sf: str) -> DataFrame:
-    return tables.format_candidates(blocking.prune(_fused(spark, sf), K))
+    return tables.format_candidates(blocking.prune(_fused(spark, sf), K_LIST))
 
 
 @query(
@@ -427,50 +440,213 @@ def validate_matches(spark: SparkSession, sf: str) -> DataFrame:
     return validate.violations(lists, ids(1), ids(2))
 
 
-@query("WITH a AS (SELECT l_returnflag AS country, avg(l_discount) AS base, avg(l_discount) + CASE WHEN l_returnflag = 'A' THEN 0.01 ELSE -0.001 END AS cand FROM lineitem GROUP BY 1), t AS (SELECT avg(base) AS b, avg(cand) AS c, count(*) FILTER (cand < base - 0.002) AS worse FROM a) SELECT round(b, 6) AS baseline, round(c, 6) AS candidate, c - b >= 0.001 AND worse = 0 AS passes FROM t")
+def _tier(score: str) -> str:
+    return _ENTITY.replace("round(score, 6)))", f"round({score}, 6)))")
+
+
+_REPORT = "SELECT country, avg({f05}) AS score FROM ent GROUP BY ROLLUP (country)"
+
+
+@query(f"WITH base AS ({_tier('score')} {_REPORT.format(f05=_F05)}), cand AS ({_tier('sqrt(greatest(score, 0))')} {_REPORT.format(f05=_F05)}) SELECT round(b.score, 6) AS baseline, round(c.score, 6) AS candidate, c.score - b.score >= 0.001 AND NOT EXISTS (SELECT 1 FROM base x JOIN cand y ON x.country = y.country WHERE y.score < x.score - 0.002) AS passes FROM base b, cand c WHERE b.country IS NULL AND c.country IS NULL")
 def tier_gate(spark: SparkSession, sf: str) -> DataFrame:
-    """The gate as one aggregate over two reports' rows."""
-    rows = roles.table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("country")).agg(F.avg("l_discount").alias("base"))
-    rows = rows.withColumn("cand", F.col("base") + F.when(F.col("country") == "A", 0.01).otherwise(-0.001))
-    one = rows.agg(F.avg("base").alias("b"), F.avg("cand").alias("c"), F.count_if(F.col("cand") < F.col("base") - MAX_COUNTRY_DROP).alias("worse"))
-    return one.select(F.round("b", 6).alias("baseline"), F.round("c", 6).alias("candidate"), ((F.col("c") - F.col("b") >= MIN_IMPROVEMENT) & (F.col("worse") == 0)).alias("passes"))
+    """The gate between two tiers' reports: one decides by the 3-gram cosine, the other by its square root."""
+    truth, ids, pairs = _truth(spark, sf), _s1_ids(spark, sf), _pairs(spark, sf)
+    top = _channel(spark, sf, _ngram_keys(), NGRAM_CAP).where(F.col("rank") <= K)
+    other = top.select(*PAIR, "rank", F.least(F.lit(1.0), F.round(F.sqrt(F.greatest("score", F.lit(0.0))), 6)).alias("prob"))
+    reports = []
+    for scored in (pairs, other):
+        found = metrics.macro_f05(decide.decide(decide.one_owner(scored), 0.5), truth, ids, by="country").collect()  # a row for each country
+        reports.append({"vcal_f05": next(r["score"] for r in found if r["country"] is None), "vcal_f05_by_country": {r["country"]: r["score"] for r in found if r["country"] is not None}})
+    return spark.createDataFrame([(round(reports[0]["vcal_f05"], 6), round(reports[1]["vcal_f05"], 6), passes_gate(*reports))], "baseline double, candidate double, passes boolean")
+
+
+# Sources, sinks and stages
+
+
+@query(f"WITH {RECORDS_SQL} SELECT id, name_clean, country FROM numbered WHERE country = 'en'")
+def stage_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Normalised records written by country, then read with the country and the columns pushed to the scan."""
+    path = tables.stage_dir(spark, "normalized")
+    tables.save(roles.records(spark, sf), path, by="country")
+    return tables.load(spark, path, ["id", "name_clean", "country"], "en")
+
+
+@query("SELECT 2::INTEGER AS source, c_custkey AS id, c_nationkey::VARCHAR AS country, c_name AS name, c_mktsegment AS address FROM customer")
+def source_file(spark: SparkSession, sf: str) -> DataFrame:
+    """A tab-separated source written from the customers and loaded again."""
+    path = tables.stage_dir(spark, "source")
+    rows = roles.table(spark, sf, "customer").select(F.concat(F.lit("S2-"), F.col("c_custkey").cast("string")).alias("entity_id"), F.col("c_name").alias("business_name"), F.col("c_mktsegment").alias("business_address"), F.col("c_nationkey").cast("string").alias("country"))
+    tables.write_tsv(rows, path)
+    return tables.load_source(spark, path).withColumn("source", F.col("source").cast("int"))
+
+
+@query("SELECT 'S2-' || c_custkey AS entity_id FROM customer UNION SELECT 'S3-' || s_suppkey FROM supplier")
+def match_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """All ids of two source files: what may be matched."""
+    paths = []
+    for name, table, key in (("S2", "customer", "c_custkey"), ("S3", "supplier", "s_suppkey")):
+        paths.append(tables.stage_dir(spark, name))
+        ids = F.concat(F.lit(f"{name}-"), F.col(key).cast("string"))
+        tables.write_tsv(roles.table(spark, sf, table).select(ids.alias("entity_id"), *[F.lit("x").alias(c) for c in tables.SOURCE_COLUMNS[1:]]), paths[-1])
+    return tables.match_targets(spark, paths)[0]
+
+
+@query(f"{_LISTS} SELECT 'S1-' || s1 AS s1, unnest(string_split(listed, ',')) AS id FROM lists WHERE listed <> ''")
+def match_file_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """A matching file written, read as it stands, and its non-empty rows taken apart."""
+    path = tables.stage_dir(spark, "matches")
+    tables.write_tsv(format_match_lists(spark, sf), path)
+    return validate.list_pairs(tables.read_lists(spark, path, tables.TRUTH_COLUMNS), *tables.TRUTH_COLUMNS)
+
+
+_CONFIG = {"word_cap": index.WORD_CAP, "ngram_cap": index.NGRAM_CAP}
+
+
+@query(f"SELECT 'candidates' AS stage, true AS done, false AS done_otherwise, '{config_hash(_CONFIG)}' AS config, count(*) AS n FROM nation")
+def stage_marker(spark: SparkSession, sf: str) -> DataFrame:
+    """A stage table with its marker, promoted to another place with it."""
+    first, last = tables.stage_dir(spark, "tier"), tables.stage_dir(spark, "chosen")
+    tables.save(roles.table(spark, sf, "nation"), f"{first}/rows")
+    tables.mark_done(spark, first, _CONFIG)
+    tables.promote(spark, first, last)
+    report = tables.read_report(spark, f"{last}/DONE.json")
+    row = ("candidates", tables.is_done(spark, last, _CONFIG), tables.is_done(spark, last, {**_CONFIG, "k": 1}), report["config"], tables.load(spark, f"{last}/rows").count())
+    return spark.createDataFrame([row], "stage string, done boolean, done_otherwise boolean, config string, n long")
+
+
+@query(f"WITH {RECORDS_SQL} SELECT source, count(*) AS records, count(DISTINCT id) AS ids FROM pool GROUP BY source")
+def pool_union(spark: SparkSession, sf: str) -> DataFrame:
+    rows = roles.records(spark, sf)
+    return tables.pool(rows.where("source = 2"), rows.where("source = 3")).groupBy("source").agg(F.count("*").alias("records"), F.countDistinct("id").alias("ids"))
+
+
+@query(f"WITH {_SPLIT}, p AS (SELECT id, CASE WHEN rn <= a THEN 'T' WHEN rn <= a + b THEN 'Vcal' WHEN rn <= a + b + b THEN 'Vtest' ELSE '' END AS split FROM q) SELECT id, split FROM p WHERE split IN ('Vcal', 'Vtest')")
+def validation_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.of_splits(stratified_split(spark, sf), "Vcal", "Vtest")
+
+
+@query(f"WITH {RECORDS_SQL} SELECT source, id, name_clean FROM pool WHERE (source, id) IN (SELECT source, id FROM truth)")
+def records_of_truth(spark: SparkSession, sf: str) -> DataFrame:
+    s1, pool = roles.sides(spark, sf)
+    return tables.of_records(pool, roles.truth(s1, pool), "source", "id").select("source", "id", "name_clean")
+
+
+@query(f"WITH {RECORDS_SQL} SELECT s1, source, id, s1::BIGINT * 4294967296 + source::BIGINT * 1073741824 + id AS triple FROM truth")
+def triple_keys(spark: SparkSession, sf: str) -> DataFrame:
+    return _truth(spark, sf).select("s1", "source", "id", triple_key(F.col("s1"), F.col("source"), F.col("id")).alias("triple"))
+
+
+_TEXTS = f"WITH {RECORDS_SQL}, t AS (SELECT id, trim(CASE WHEN legal_form IS NULL THEN name_clean ELSE name_clean || ' ' || legal_form END) || ' | ' || address_clean AS text FROM numbered)"
+
+
+@query(f"{_TEXTS} SELECT id, md5(text) AS text_md5, length(text) AS characters FROM t")
+def pair_texts(spark: SparkSession, sf: str) -> DataFrame:
+    text = T.pair_text(F.col("name_clean"), F.col("legal_form"), F.col("address_clean"))
+    return roles.records(spark, sf).select("id", F.md5(text.cast("binary")).alias("text_md5"), F.length(text).cast("long").alias("characters"))
+
+
+@query("SELECT o.n_name AS a, r.r_name AS b, 'Decide whether the two records describe the same business. Answer Yes or No.' || chr(10) || chr(10) || 'Record A: acme' || chr(10) || 'Record B: acme ltd' || chr(10) || 'Same business? Yes' || chr(10) || chr(10) || 'Record A: ' || n_name || chr(10) || 'Record B: ' || r_name || chr(10) || 'Same business? ' AS prompt FROM nation o JOIN region r ON o.n_regionkey = r.r_regionkey")
+def judge_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = roles.table(spark, sf, "nation").join(roles.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return rows.select(F.col("n_name").alias("a"), F.col("r_name").alias("b"), T.judge_prompt(F.col("n_name"), F.col("r_name"), [("acme", "acme ltd", True)]).alias("prompt"))
+
+
+@query("SELECT p_partkey, array_to_string(list_transform(list_filter(string_split(p_name, ' '), lambda t: t <> ''), lambda t: CASE t WHEN 'red' THEN 'rd' WHEN 'blue' THEN 'bl' ELSE t END), ' ') AS name FROM part")
+def abbreviated_names(spark: SparkSession, sf: str) -> DataFrame:
+    mapping = F.create_map(*[F.lit(x) for x in ("red", "rd", "blue", "bl")])
+    return roles.table(spark, sf, "part").select("p_partkey", F.array_join(T.apply_abbreviations(T.tokens(F.col("p_name")), mapping), " ").alias("name"))
+
+
+@query(f"{_FUSED}, o AS (SELECT *, row_number() OVER (PARTITION BY country, source, id ORDER BY rrf DESC, s1) AS rn FROM fused) SELECT country, source, id, round(max(rrf), 6) AS best, round(coalesce(max(CASE WHEN rn = 2 THEN rrf END), 0), 6) AS second, count(*) AS rivals FROM o GROUP BY country, source, id")
+def competition_of_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Competition of each third of the S1 records by itself, then merged."""
+    fused = _fused(spark, sf)
+    parts = [blocking.competition(fused.where(F.col("s1") % 3 == k)) for k in range(3)]
+    return blocking.merge_competition(parts).select("country", "source", "id", _r("best"), _r("second"), "rivals")
+
+
+@query(f"{_PROB} SELECT country, s1, source, id, prob, CASE WHEN rank <= 3 THEN round(1 / (1 + exp(-(4 * prob - 2))), 6) END AS new_prob FROM pairs")
+def aligned_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The logits of a second stage that saw the first three candidates of each S1."""
+    pairs = _pairs(spark, sf)
+    seen = pairs.where("rank <= 3").select("s1", "source", "id", (4 * F.col("prob") - 2).alias("logit"))
+    return models.align_scores(pairs, seen.withColumnRenamed("logit", "new_prob"), logits=True).select(*PAIR, "prob", _r("new_prob"))
+
+
+@query(f"{_PROB} SELECT DISTINCT 'not_candidate' AS rule, s1 || ':' || id AS example FROM truth t WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.s1 = t.s1 AND p.id = t.id AND rank <= 2)")
+def matches_without_candidate(spark: SparkSession, sf: str) -> DataFrame:
+    return validate.not_candidates(_truth(spark, sf), _pairs(spark, sf).where("rank <= 2"))
+
+
+@query(f"{_PROB} SELECT country, s1, source, id FROM pairs ORDER BY md5('7:' || s1 || ':' || source || ':' || id || ':'), s1, source, id LIMIT 100")
+def sampled_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.hash_sample(_pairs(spark, sf).select(*PAIR), 100, 7, "s1", "source", "id")
+
+
+_ORDERED = "ORDER BY md5('42:' || s1 || ':' || source || ':' || id || ':'), s1, source, id"
+
+
+@query(f"{_LABELLED}, pos AS (SELECT DISTINCT s1, source, id FROM truth {_ORDERED} LIMIT 20), neg AS (SELECT s1, source, id FROM lab WHERE label = 0 AND rank <= 10 {_ORDERED} LIMIT 20) SELECT s1, source, id, 1 AS label FROM pos UNION ALL SELECT s1, source, id, 0 FROM neg".replace("SELECT DISTINCT s1, source, id FROM truth ORDER", "SELECT s1, source, id FROM (SELECT DISTINCT s1, source, id FROM truth) ORDER"))
+def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.training_pairs(_pairs(spark, sf), _truth(spark, sf), 40)
+
+
+@query(f"WITH {_SPLIT}, w AS (SELECT *, round_even(60.0::DOUBLE * c / n, 0) AS want FROM s) SELECT id, country FROM w WHERE rn <= greatest(1, want)")
+def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
+    rows = roles.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("country"))
+    return sampling.stratified_sample(rows, 60).select("id", "country")
 
 
 # Models: no SQL form
 
 
 def _training(spark, sf):
-    """Candidate pairs with the features that built-in functions express, and labels."""
+    """Candidate pairs with all 26 features, labels, the split of their S1 record by thirds of a hash, and the 3-gram channel's prob."""
     s1, pool = roles.sides(spark, sf)
-    rows = features.label_pairs(features.set_features(features.pair_records(_pairs(spark, sf), s1, pool)), roles.truth(s1, pool))
-    return rows.select(*PAIR, "rank", "name_jaccard", "name_ngram_cosine", "name_abbrev_subseq", "addr_jaccard", "addr_shared_numbers", "label", "prob")
+    fused = _fused(spark, sf)
+    rows = features.all_features(blocking.prune(fused, K), blocking.competition(fused), s1, pool)
+    split = F.element_at(F.array(F.lit("T"), F.lit("Vcal"), F.lit("Vtest")), (F.pmod(F.xxhash64("s1"), F.lit(3)) + 1).cast("int"))
+    return features.label_pairs(rows, roles.truth(s1, pool)).withColumns({"split": split, "prob": F.round("name_ngram_cosine", 6)})
+
+
+@query()
+def all_features(spark: SparkSession, sf: str) -> DataFrame:
+    return _training(spark, sf).drop("split", "prob")
 
 
-_COLUMNS = ["rank", "name_jaccard", "name_ngram_cosine", "name_abbrev_subseq", "addr_shared_numbers"]
+def _trees(rows: DataFrame):
+    """Trees of the operator's own size, trained on T; rounds end when the loss on Vcal gets no better."""
+    part = rows.where("split in ('T', 'Vcal')").withColumn("held", F.col("split") == "Vcal")
+    return models.train_trees(part, models.feature_columns(rows), validation="held", rounds=TREE_ROUNDS)
+
+
+#: Rounds at most; the operator's default is 200, and the loss on Vcal ends training earlier.
+TREE_ROUNDS = 60
 
 
 @query()
 def gbdt_scores(spark: SparkSession, sf: str) -> DataFrame:
     rows = _training(spark, sf).cache()
-    return models.score_trees(models.train_trees(rows, _COLUMNS, depth=3, rounds=5), rows.drop("prob"))
+    return models.score_trees(_trees(rows), rows.drop("prob").where("split = 'Vtest'"))
 
 
 @query()
 def platt_calibration(spark: SparkSession, sf: str) -> DataFrame:
     rows = _training(spark, sf).cache()
-    return models.apply_platt(models.fit_platt(rows, ["prob", "addr_jaccard"]), rows, "calibrated").select(*PAIR, "calibrated")
+    columns = ["prob", "addr_jaccard"]
+    return models.apply_platt(models.fit_platt(rows.where("split = 'Vcal'"), columns), rows.where("split = 'Vtest'"), "calibrated").select(*PAIR, "calibrated")
 
 
 @query()
 def context_stacker(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _training(spark, sf).withColumn("new_prob", F.when(F.col("rank") <= 3, F.col("addr_jaccard"))).cache()
-    return models.apply_stacker(models.fit_stacker(rows, rounds=5, depth=3), rows).select(*PAIR, "stacked")
+    rows = _training(spark, sf).select(*PAIR, "fused_rank", "label", "split", "prob", F.when(F.col("fused_rank") <= 3, F.col("addr_jaccard")).alias("new_prob")).cache()
+    return models.apply_stacker(models.fit_stacker(rows.where("split = 'Vcal'"), rounds=TREE_ROUNDS), rows.where("split = 'Vtest'")).select(*PAIR, "stacked")
 
 
 @query()
 def loco_ap(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _training(spark, sf).cache()
-    found = models.leave_one_country_out(rows.drop("prob"), _COLUMNS, depth=3, rounds=3)
+    rows = _training(spark, sf).drop("prob", "split").cache()
+    found = models.leave_one_country_out(rows, models.feature_columns(rows), rounds=10)
     return spark.createDataFrame(list(found.items()), "country string, ap double")
 
 

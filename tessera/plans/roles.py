@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.text import LEGAL_FORMS
+
 from .normalize import normalize_records
 
 
@@ -65,6 +67,7 @@ def clean_sql(x: str) -> str:
     return f"trim(regexp_replace({step}, '\\s+', ' ', 'g'))"
 
 
+_FORMS = f"({', '.join(repr(f) for f in LEGAL_FORMS)})"
 RECORDS_SQL = f"""raw AS (
   SELECT doc_id AS id, lang AS country,
          CASE WHEN try_cast(substr(source, 4) AS INTEGER) < 5 THEN 1 WHEN try_cast(substr(source, 4) AS INTEGER) < 10 THEN 2 ELSE 3 END AS source,
@@ -73,7 +76,7 @@ RECORDS_SQL = f"""raw AS (
   FROM documents),
 folded AS (SELECT id, country, source, {clean_sql("name")} AS n, {clean_sql("address")} AS address_clean FROM raw),
 worded AS (SELECT *, list_filter(string_split(n, ' '), lambda t: t <> '') AS words, list_filter(list_transform(regexp_split_to_array(address_clean, '[\\s,]+'), lambda t: trim(t, '.,;:-')), lambda t: t <> '') AS parts FROM folded),
-formed AS (SELECT *, CASE WHEN words[-1] IN ('llc', 'inc', 'corp', 'corporation', 'co', 'ltd', 'limited', 'pvt', 'private', 'sarl', 'sas', 'sci', 'gmbh', 'plc') THEN words[-1] END AS legal_form FROM worded),
+formed AS (SELECT *, CASE WHEN words[-1] IN {_FORMS} THEN words[-1] END AS legal_form FROM worded),
 rec AS (
   SELECT id, country, source, legal_form, address_clean, CASE WHEN legal_form IS NULL THEN words ELSE words[1:-2] END AS name_tokens,
          array_to_string(CASE WHEN legal_form IS NULL THEN words ELSE words[1:-2] END, ' ') AS name_clean,

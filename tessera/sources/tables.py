@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,21 @@ def load(spark: SparkSession, path: str, columns: list[str] | None = None, count
     return df.select(*columns) if columns else df
 
 
+def stage_dir(spark: SparkSession, name: str) -> str:
+    """A folder of its own for stage tables, in the one that driver and executors share (spark.checkpoint.dir), deleted when the driver
+    ends; a temporary one only for a local master without that setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tessera-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    where, files = _path(spark, path)
+    files.deleteOnExit(where)
+    return path
+
+
 def pool(s2: DataFrame, s3: DataFrame) -> DataFrame:
     return s2.unionByName(s3)
 

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 from collections import defaultdict
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import blocking, decide, dense, dictionaries, features, index, metrics, models, sampling, validate
-from tessera.plans import linkage
+from tessera.plans import linkage, queries
 from tessera.sources import tables
 
 CAP = 5
@@ -307,3 +308,24 @@ def test_whole_plan(spark):
     s1, pool = table.where("source = 1"), table.where("source > 1").drop("split")
     tier = linkage.link(s1, pool, spark.createDataFrame(truth, "s1 long, source int, id long"), k=5, trees={"depth": 2, "rounds": 4, "step": 0.5}, word_cap=200, ngram_cap=200)
     assert tier["vcal_f05"] > 0.7 and tier["predictions"].count() == s1.where("split = 'test'").count()
+
+
+def test_exact_channel(spark):
+    """A group of equal records gives each S1 record k candidates, the first by source and id."""
+    rows = [("x", 1, i, "n", "a") for i in range(40)] + [("x", 2 + i % 2, i, "n", "a") for i in range(90)] + [("y", 2, 500, "n", "a"), ("x", 2, 501, "n", "b"), (None, 2, 502, "n", "a")]
+    df = spark.createDataFrame(rows, "country string, source int, id long, name_clean string, address_clean string")
+    out = linkage.exact_channel(df.where("source = 1"), df.where("source > 1"), 5).collect()
+    assert len(out) == 200 and {(r.source, r.id, r.rank) for r in out} == {(2, 2 * k, k + 1) for k in range(5)}
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_of_the_registered_blocking(spark, sf):
+    """Truth is all pairs of equal records. At 50 candidates none is lost; at 10, none that ten places can hold."""
+    folder = f"/root/testdata/{sf}"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are not here")
+    recall = {r.k: r.recall for r in queries.queries()["recall_at_k"](spark, folder).collect()}
+    n = queries.roles.truth(*queries.roles.sides(spark, folder)).groupBy("s1").count()
+    most = n.selectExpr("sum(least(count, 10)) / sum(count)").first()[0]
+    spark.catalog.clearCache()
+    assert recall[50] >= 0.99 and recall[10] >= 0.95 * most
