@@ -14,23 +14,35 @@ from .index import top_k
 
 TOP_K = 60
 BLOCK = 2048
+#: Blocks of each side that meet in one task.
+SIDE = 8
+
+
+def _block_counts(df: DataFrame, rows: int) -> DataFrame:
+    return df.groupBy("country").agg(F.greatest(F.ceil(F.count("*") / rows), F.lit(1)).alias("n_blocks"))
 
 
 def _blocks(df: DataFrame, ids: tuple[str, ...], vector: str, rows: int) -> DataFrame:
     """Records packed into blocks of about `rows`, numbered within their country: so many that no block grows with the table."""
-    n = df.groupBy("country").agg(F.greatest(F.ceil(F.count("*") / rows), F.lit(1)).alias("n_blocks"))
-    spread = df.join(n, "country").withColumn("block", F.pmod(F.xxhash64(*ids), F.col("n_blocks")))
+    spread = df.join(_block_counts(df, rows), "country").withColumn("block", F.pmod(F.xxhash64(*ids), F.col("n_blocks")))
     return spread.groupBy("country", "block").agg(F.collect_list(F.struct(*ids, F.col(vector).alias("v"))).alias("rows"))
 
 
-def exact_knn(queries: DataFrame, pool: DataFrame, k: int = TOP_K, vector: str = "embedding", block: int = BLOCK, same_id: bool = True) -> DataFrame:
+def _cells(blocks: DataFrame, own: str, other: str, counts: DataFrame, side: int) -> DataFrame:
+    """Blocks by the cells of a grid: `own` is the part of `side` blocks that a block is in, and it stands once in each `other` part."""
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_blocks") - 1) / side))
+    return blocks.join(counts, "country").select("country", F.floor(F.col("block") / side).alias(own), F.explode(parts).alias(other), "rows")
+
+
+def exact_knn(queries: DataFrame, pool: DataFrame, k: int = TOP_K, vector: str = "embedding", block: int = BLOCK, side: int = SIDE, same_id: bool = True) -> DataFrame:
     """country, s1, source, id, score, rank: the k pool records of the same country with the largest inner product.
 
     queries: country, s1, vector; pool: country, source, id, vector. Blocks of queries meet blocks of the pool, each pair of blocks
-    is one matrix product of which the best k of each query go on. same_id=False leaves out pool records with the query's number.
+    is one matrix product of which the best k of each query go on. The pairs of a country's blocks are dealt over a grid of cells of
+    side x side pairs, so a task's work doesn't grow with the country, however large it is. same_id=False leaves out pool records with the query's number.
     """
-    q = _blocks(queries, ("s1",), vector, block).withColumnsRenamed({"block": "q_block", "rows": "q_rows"})
-    p = _blocks(pool, ("source", "id"), vector, block).withColumnsRenamed({"block": "p_block", "rows": "p_rows"})
+    q = _cells(_blocks(queries, ("s1",), vector, block), "q_part", "p_part", _block_counts(pool, block), side).withColumnRenamed("rows", "q_rows")
+    p = _cells(_blocks(pool, ("source", "id"), vector, block), "p_part", "q_part", _block_counts(queries, block), side).withColumnRenamed("rows", "p_rows")
 
     def best(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -52,7 +64,7 @@ def exact_knn(queries: DataFrame, pool: DataFrame, k: int = TOP_K, vector: str =
 
     kinds = {f.name: f.dataType.simpleString() for f in [*queries.schema, *pool.schema]}
     schema = f"country {kinds['country']}, s1 {kinds['s1']}, source {kinds['source']}, id {kinds['id']}, score double"
-    return top_k(q.join(p, "country").mapInPandas(best, schema), k)
+    return top_k(q.join(p, ["country", "q_part", "p_part"]).mapInPandas(best, schema), k)
 
 
 def hashed_ngram_vectors(size: int = 256, n: int = 3):

@@ -84,11 +84,13 @@ def test_blocking_quality(spark):
     assert blocking.admit_dense(0.8, 0.81) and not blocking.admit_dense(0.8, 0.801)
 
 
-def test_knn_equals_numpy(spark):
+@pytest.mark.parametrize("block, side", [(16, 8), (4, 2)])
+def test_knn_equals_numpy(spark, block, side):
     rng = np.random.default_rng(0)
     v = rng.normal(size=(120, 8))
     rows = spark.createDataFrame([("xy"[i % 2], 2, i, v[i].tolist()) for i in range(120)], "country string, source int, id long, embedding array<float>")
-    got = dense.exact_knn(rows.select("country", F.col("id").alias("s1"), "embedding"), rows, 5, block=16, same_id=False).collect()
+    got = dense.exact_knn(rows.select("country", F.col("id").alias("s1"), "embedding"), rows, 5, block=block, side=side, same_id=False).collect()
+    assert len(got) == 120 * 5
     for s1 in range(0, 120, 7):
         mates = [j for j in range(s1 % 2, 120, 2) if j != s1]
         best = sorted(mates, key=lambda j: -float(v[s1] @ v[j]))[:5]
