@@ -47,8 +47,12 @@ def _channel(spark, sf, keys, cap):
 
 
 def _fused(spark, sf):
-    # Pruning and competition both read it.
-    return blocking.fuse([_channel(spark, sf, _word_keys(), WORD_CAP), _channel(spark, sf, _ngram_keys(), NGRAM_CAP), exact_channel(*roles.sides(spark, sf), CUT)]).persist()
+    return blocking.fuse([_channel(spark, sf, _word_keys(), WORD_CAP), _channel(spark, sf, _ngram_keys(), NGRAM_CAP), exact_channel(*roles.sides(spark, sf), CUT)])
+
+
+def _fused_table(spark, sf):
+    """For queries that read the fused pairs more than once, as competition does."""
+    return tables.stage(_fused(spark, sf), "fused")
 
 
 def _r(c: str, digits: int = 6):
@@ -171,7 +175,7 @@ def rrf_cnp_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{_FUSED}, o AS (SELECT *, row_number() OVER (PARTITION BY country, source, id ORDER BY rrf DESC, s1) AS rn FROM fused) SELECT country, source, id, round(max(rrf), 6) AS best, round(coalesce(max(CASE WHEN rn = 2 THEN rrf END), 0), 6) AS second, count(*) AS rivals FROM o GROUP BY country, source, id")
 def competing_s1_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return blocking.competition(_fused(spark, sf)).select("country", "source", "id", _r("best"), _r("second"), "rivals")
+    return blocking.competition(_fused_table(spark, sf)).select("country", "source", "id", _r("best"), _r("second"), "rivals")
 
 
 @query(f"{_FUSED}, c AS (SELECT * FROM cand WHERE rank <= {K_LIST}), h AS (SELECT c.country, count(*) AS hits FROM c JOIN truth t USING (country, s1, source, id) GROUP BY 1), a AS (SELECT country, count(*) AS n_s1 FROM s1 GROUP BY 1), b AS (SELECT country, count(*) AS n_pool FROM pool GROUP BY 1), d AS (SELECT country, count(*) AS n_true FROM truth GROUP BY 1), e AS (SELECT country, count(*) AS n_cand FROM c GROUP BY 1) SELECT country, coalesce(n_s1, 0) AS n_s1, coalesce(n_pool, 0) AS n_pool, coalesce(hits, 0) AS hits, coalesce(n_true, 0) AS n_true, coalesce(n_cand, 0) AS n_cand, round(CASE WHEN coalesce(n_true, 0) = 0 THEN 1.0::DOUBLE ELSE coalesce(hits, 0) / n_true END, 6) AS pc, round(CASE WHEN coalesce(n_s1 * n_pool, 0) = 0 THEN 0.0::DOUBLE ELSE 1 - coalesce(n_cand, 0) / (n_s1 * n_pool) END, 6) AS rr, round(CASE WHEN coalesce(n_cand, 0) = 0 THEN 0.0::DOUBLE ELSE coalesce(hits, 0) / n_cand END, 6) AS pq FROM a FULL JOIN b USING (country) LEFT JOIN d USING (country) LEFT JOIN e USING (country) LEFT JOIN h USING (country)")
@@ -288,7 +292,7 @@ def pair_indel_features(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{_FUSED}, o AS (SELECT *, row_number() OVER (PARTITION BY country, source, id ORDER BY rrf DESC, s1) AS rn FROM fused), comp AS (SELECT country, source, id, max(rrf) AS best, coalesce(max(CASE WHEN rn = 2 THEN rrf END), 0) AS second FROM o GROUP BY ALL), c AS (SELECT *, max(rrf) OVER (PARTITION BY country, s1) AS top FROM cand WHERE rank <= {K}) SELECT c.country, c.s1, c.source, c.id, round(rrf, 6) AS fused_score, rank AS fused_rank, round(top - rrf, 6) AS gap_to_s1_best, CASE WHEN rrf >= best - 1e-9 THEN 1 WHEN rrf >= second - 1e-9 THEN 2 ELSE 3 END AS reverse_rank, round(greatest(best - rrf, 0), 6) AS gap_to_record_best, (c.source = 3)::INT::DOUBLE AS is_s3 FROM c JOIN comp ON comp.country = c.country AND comp.source = c.source AND comp.id = c.id")
 def graph_features(spark: SparkSession, sf: str) -> DataFrame:
-    fused = _fused(spark, sf)
+    fused = _fused_table(spark, sf)
     rows = features.graph_features(blocking.prune(fused, K), blocking.competition(fused))
     return rows.withColumns({c: F.round(c, 6) for c in ("fused_score", "gap_to_s1_best", "gap_to_record_best")})
 
@@ -560,7 +564,7 @@ def abbreviated_names(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"{_FUSED}, o AS (SELECT *, row_number() OVER (PARTITION BY country, source, id ORDER BY rrf DESC, s1) AS rn FROM fused) SELECT country, source, id, round(max(rrf), 6) AS best, round(coalesce(max(CASE WHEN rn = 2 THEN rrf END), 0), 6) AS second, count(*) AS rivals FROM o GROUP BY country, source, id")
 def competition_of_parts(spark: SparkSession, sf: str) -> DataFrame:
     """Competition of each third of the S1 records by itself, then merged."""
-    fused = _fused(spark, sf)
+    fused = _fused_table(spark, sf)
     parts = [blocking.competition(fused.where(F.col("s1") % 3 == k)) for k in range(3)]
     return blocking.merge_competition(parts).select("country", "source", "id", _r("best"), _r("second"), "rivals")
 
@@ -603,7 +607,7 @@ def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
 def _training(spark, sf):
     """Candidate pairs with all 26 features, labels, the split of their S1 record by thirds of a hash, and the 3-gram channel's prob."""
     s1, pool = roles.sides(spark, sf)
-    fused = _fused(spark, sf)
+    fused = _fused_table(spark, sf)
     rows = features.all_features(blocking.prune(fused, K), blocking.competition(fused), s1, pool)
     split = F.element_at(F.array(F.lit("T"), F.lit("Vcal"), F.lit("Vtest")), (F.pmod(F.xxhash64("s1"), F.lit(3)) + 1).cast("int"))
     return features.label_pairs(rows, roles.truth(s1, pool)).withColumns({"split": split, "prob": F.round("name_ngram_cosine", 6)})
@@ -626,26 +630,26 @@ TREE_ROUNDS = 60
 
 @query()
 def gbdt_scores(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _training(spark, sf).cache()
+    rows = tables.stage(_training(spark, sf), "training")
     return models.score_trees(_trees(rows), rows.drop("prob").where("split = 'Vtest'"))
 
 
 @query()
 def platt_calibration(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _training(spark, sf).cache()
+    rows = tables.stage(_training(spark, sf), "training")
     columns = ["prob", "addr_jaccard"]
     return models.apply_platt(models.fit_platt(rows.where("split = 'Vcal'"), columns), rows.where("split = 'Vtest'"), "calibrated").select(*PAIR, "calibrated")
 
 
 @query()
 def context_stacker(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _training(spark, sf).select(*PAIR, "fused_rank", "label", "split", "prob", F.when(F.col("fused_rank") <= 3, F.col("addr_jaccard")).alias("new_prob")).cache()
+    rows = tables.stage(_training(spark, sf).select(*PAIR, "fused_rank", "label", "split", "prob", F.when(F.col("fused_rank") <= 3, F.col("addr_jaccard")).alias("new_prob")), "training")
     return models.apply_stacker(models.fit_stacker(rows.where("split = 'Vcal'"), rounds=TREE_ROUNDS), rows.where("split = 'Vtest'")).select(*PAIR, "stacked")
 
 
 @query()
 def loco_ap(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _training(spark, sf).drop("prob", "split").cache()
+    rows = tables.stage(_training(spark, sf).drop("prob", "split"), "training")
     found = models.leave_one_country_out(rows, models.feature_columns(rows), rounds=10)
     return spark.createDataFrame(list(found.items()), "country string, ap double")
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import LEGAL_FORMS
+from tessera.sources import tables
 
 from .normalize import normalize_records
 
@@ -33,16 +34,16 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_HELD: dict[tuple[str, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str, int], DataFrame] = {}
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalised records, persisted: both sides of a join, their vocabularies and the features read them. A long-lived pipeline saves them
-    as a stage table instead (sources.tables.save)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _HELD:
-        _HELD[key] = normalize_records(raw_records(spark, sf_dir))
-    return _HELD[key].persist()
+    """Normalised records, as a stage table: both sides of a join, their vocabularies and the features read columns of it. It is written
+    once for a version of the documents."""
+    key = (spark.sparkContext.applicationId, sf_dir, tables.modified(spark, f"{sf_dir}/documents.parquet"))
+    if key not in _STAGED:
+        _STAGED[key] = tables.stage(normalize_records(raw_records(spark, sf_dir)), "records")
+    return _STAGED[key]
 
 
 def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

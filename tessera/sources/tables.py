@@ -67,6 +67,20 @@ def stage_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """df written as a stage table in a folder of its own and read back: lineage ends there, and every reader finds it, whatever executors
+    are lost in between."""
+    path = stage_dir(df.sparkSession, name)
+    save(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file or folder was last changed."""
+    p, fs = _path(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
+
+
 def pool(s2: DataFrame, s3: DataFrame) -> DataFrame:
     return s2.unionByName(s3)
 
