@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -329,5 +330,19 @@ def test_recall_of_the_registered_blocking(spark, sf):
     recall = {r.k: r.recall for r in queries.queries()["recall_at_k"](spark, folder).collect()}
     n = queries.roles.truth(*queries.roles.sides(spark, folder)).groupBy("s1").count()
     most = n.selectExpr("sum(least(count, 10)) / sum(count)").first()[0]
-    spark.catalog.clearCache()
     assert recall[50] >= 0.99 and recall[10] >= 0.95 * most
+
+
+def test_records_are_staged_once_for_a_version_of_the_documents(spark, tmp_path):
+    from tessera.plans import roles
+
+    def put(ids, day):
+        path = tmp_path / "documents.parquet"
+        pd.DataFrame({"doc_id": ids, "text": ["acme ltd\n1 low street"] * len(ids), "lang": "en", "source": "src1", "n_chars": 10}).to_parquet(path)
+        os.utime(path, (day * 86400, day * 86400))
+
+    put([1, 2], 100)
+    first = roles.records(spark, str(tmp_path))
+    assert first.count() == 2 and roles.records(spark, str(tmp_path)) is first
+    put([1, 2, 3], 101)
+    assert sorted(r.id for r in roles.records(spark, str(tmp_path)).collect()) == [1, 2, 3]
