@@ -346,3 +346,36 @@ def test_records_are_staged_once_for_a_version_of_the_documents(spark, tmp_path)
     assert first.count() == 2 and roles.records(spark, str(tmp_path)) is first
     put([1, 2, 3], 101)
     assert sorted(r.id for r in roles.records(spark, str(tmp_path)).collect()) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("held, chunk, sent", [(7, 20, 1000), (1000, 10**6, 1000), (7, 20, 3)])
+def test_channel_in_parts_equals_brute_force(spark, held, chunk, sent):
+    """Parts of S1, chunks of the pool and the join of large vocabularies find the same, equal scores by source and id."""
+    rng = random.Random(held)
+    make = lambda source, n: [("x", source, i, [f"k{rng.randint(0, 12)}" for _ in range(rng.randint(0, 4))]) for i in range(n)]
+    queries, pool = make(1, 40), make(3, 50) + make(2, 50)
+    nowhere = [(None, 2, 900, ["k1"]), ("z", 2, 901, ["k1"]), ("z", 2, 902, [])]
+    expected = scores_by_hand(queries, pool, 30)
+    got = index.channel_top_k(records(spark, queries + [("w", 1, 99, ["k1"])]), records(spark, pool + nowhere), F.col("keys"), 30, 4, sent, held, chunk)
+    assert dict(got.dtypes) == {"country": "string", "s1": "bigint", "source": "int", "id": "bigint", "score": "double", "rank": "int"}
+    rows = got.collect()
+    assert {r.s1 for r in rows} == {k[0] for k in expected}
+    for s1 in {k[0] for k in expected}:
+        best = sorted((-round(v, 9), *k[1:]) for k, v in expected.items() if k[0] == s1)[:4]
+        assert [(r.source, r.id) for r in sorted((r for r in rows if r.s1 == s1), key=lambda r: r["rank"])] == [b[1:] for b in best]
+
+
+def test_channel_does_not_shuffle_pairs(spark):
+    """Pairs that share a key are many times the records: they are summed in the task where they arise, not joined and grouped."""
+    rows = records(spark, [("x", 1 + i % 2, i, ["a", f"k{i % 5}"]) for i in range(40)])
+    got = index.channel_top_k(rows.where("source = 1"), rows.where("source = 2"), F.col("keys"), 100, 3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and got.count() == 60
+
+
+def test_channel_of_nothing(spark):
+    """Without a key of the pool there are no pairs; a key in all records but one weighs nothing and still makes pairs."""
+    empty, one = records(spark, []), records(spark, [("x", 2, 1, ["a"]), ("x", 2, 2, [])])
+    assert index.channel_top_k(one, empty, F.col("keys"), 5).isEmpty() and index.channel_top_k(empty, one, F.col("keys"), 5).isEmpty()
+    got = index.channel_top_k(one, one, F.col("keys"), 5).collect()
+    assert [(r.s1, r.id, r.score) for r in got] == [(1, 1, 0.0)]
