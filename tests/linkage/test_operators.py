@@ -405,3 +405,11 @@ def test_idf_cosines_equal_brute_force(spark, held, most):
         expected[c, a, source, b] = [weigh(c, u & v) / math.sqrt(weigh(c, u) * weigh(c, v)) if weigh(c, u) and weigh(c, v) else 0.0 for u, v in zip(x, y)]
     found = {tuple(r)[:4]: tuple(r)[4:] for r in got.collect()}
     assert found.keys() == expected.keys() and all(found[k] == pytest.approx(v, abs=1e-9) for k, v in expected.items())
+
+
+def test_fusion_deals_pairs_once(spark):
+    """The sums and the ranks of fused pairs need no exchange but the one by S1 record."""
+    ranked = spark.createDataFrame([("x", 1, 2, 7, 1), ("x", 1, 3, 8, 2)], "country string, s1 long, source int, id long, rank int")
+    plan = blocking.prune(blocking.fuse([ranked, ranked]), 5)._jdf.queryExecution().sparkPlan().toString()
+    planned = blocking.prune(blocking.fuse([ranked, ranked]), 5)._jdf.queryExecution().executedPlan().toString()
+    assert planned.count("Exchange") == 1 and "Window" in plan
