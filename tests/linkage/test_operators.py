@@ -413,3 +413,14 @@ def test_fusion_deals_pairs_once(spark):
     plan = blocking.prune(blocking.fuse([ranked, ranked]), 5)._jdf.queryExecution().sparkPlan().toString()
     planned = blocking.prune(blocking.fuse([ranked, ranked]), 5)._jdf.queryExecution().executedPlan().toString()
     assert planned.count("Exchange") == 1 and "Window" in plan
+
+
+def test_truth_shuffles_no_text(spark):
+    """Equal records meet by a digest of their texts; where name ends and address begins counts."""
+    from tessera.plans import roles
+
+    rows = spark.createDataFrame([("x", 1, 1, "a", "bc"), ("x", 2, 2, "a", "bc"), ("x", 2, 3, "ab", "c"), ("y", 2, 4, "a", "bc"), (None, 2, 5, "a", "bc")], "country string, source int, id long, name_clean string, address_clean string")
+    got = roles.truth(rows.where("source = 1"), rows.where("source > 1"))
+    assert [tuple(r) for r in got.collect()] == [("x", 1, 2, 2)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert all("address_clean" not in x for x in plan.splitlines() if "Exchange" in x or "Join" in x)
