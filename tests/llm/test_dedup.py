@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from tessera.llm import exact_dedup, minhash, substring_dedup
 from tessera.llm.components import connected_components
@@ -190,6 +191,29 @@ def test_classes_hold_all_links(spark):
     assert [(p.start, p.end) for p in out[2].passages] == [(0, 130), (139, 209)]
 
 
+def test_passage_pieced_together_from_other_texts(spark):
+    """All seeds of the two texts' passage stand in texts of smaller ids, none of which shares 16 words with them."""
+    rng = random.Random(12)
+    shared = passage(rng, 60)
+    texts = {n: passage(rng, 40) + shared[i : i + 15] + passage(rng, 40) for n, i in enumerate(range(0, 46, 5))}
+    texts |= {10: passage(rng, 25) + shared + passage(rng, 30), 11: shared + passage(rng, 70)}
+    out = {r.doc_id: r for r in substring_dedup.repeated_passages(frame(spark, rows_of((i, " ".join(t)) for i, t in texts.items()))).collect()}
+    assert set(out) == {10, 11} and set(out[10].shared) & set(out[11].shared)
+    assert [(p.start, p.end) for r in (out[10], out[11]) for p in r.passages] == [(25, 85), (0, 60)]
+
+
+def test_one_match_is_aligned():
+    """A pair that a long seed makes may have one match only, in 16 equal words."""
+    rng = random.Random(2)
+    run = substring_dedup._aligned(6, 6, 0.1, 0.7, 16)
+    for _ in range(300):
+        same = [rng.randrange(1 << 32) for _ in range(16)]
+        x, y = ([rng.randrange(1 << 32) for _ in range(20)] + same + [rng.randrange(1 << 32) for _ in range(20)] for _ in range(2))
+        codes = [pa.array([np.array(t, np.uint32).tobytes()]) for t in (x, y)]
+        (out,) = run([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), *codes], names=["a", "b", "codes_a", "codes_b"])])
+        assert out.to_pylist() == [{"a": 1, "b": 2, "a_start": 20, "a_end": 36, "b_start": 20, "b_end": 36}]
+
+
 def test_clashing_columns(spark):
     rows = [(1, "a b c d e f", "x", 1, "y"), (2, "a b c d e f", "x", 2, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, gone string, gone_ int, digest string")
