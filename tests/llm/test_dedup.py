@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import Counter, defaultdict
 
@@ -214,6 +215,52 @@ def test_one_match_is_aligned():
         assert out.to_pylist() == [{"a": 1, "b": 2, "a_start": 20, "a_end": 36, "b_start": 20, "b_end": 36}]
 
 
+def test_seeds_equal_brute_force():
+    """Leftmost of the least shingles of each full window, text by text; one window for a shorter text."""
+    rng = random.Random(7)
+    texts = [None, "", " \n", "  A b\x0bc ", *(" ".join(rng.choice("aBcé"[: rng.randint(1, 4)]) for _ in range(rng.randint(0, 60))) for _ in range(200))]
+    codes, bounds = substring_dedup.word_codes(pa.array(texts))
+    kinds = [(2, 3), (3, 1), (4, 6)]
+    for (k, window), (hashes, places, begin) in zip(kinds, substring_dedup.seeds(codes, bounds, kinds)):
+        names = {}
+        for t, text in enumerate(texts):
+            words = (text or "").encode().lower().split()
+            own, at = hashes[begin[t] : begin[t + 1]].tolist(), places[begin[t] : begin[t + 1]].tolist()
+            # A shingle that is no seed anywhere has no known hash, so every shingle is hashed on its own.
+            shingles = [tuple(words[i : i + k]) for i in range(len(words) - k + 1)]
+            for x in set(shingles) - set(names):
+                one = substring_dedup.word_codes(pa.array([b" ".join(x).decode()]))
+                names[x] = int(substring_dedup.seeds(*one, [(k, window)])[0][0][0])
+            h = [names[x] for x in shingles]
+            least = {min(range(i, min(i + window, len(h))), key=lambda j: (h[j] % 2**64, j)) for i in range(max(1, len(h) - window + 1)) if h}
+            assert at == sorted(least) and own == [h[j] for j in at]
+
+
+def test_each_seed_is_shuffled_once(spark, monkeypatch):
+    """Neither for its anchor and for the pairs anew, nor in a list of all seeds of a text."""
+    plans, write = [], substring_dedup.materialize
+    monkeypatch.setattr(substring_dedup, "materialize", lambda df, label="step": plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, label))
+    rng = random.Random(5)
+    shared = passage(rng, 60)
+    substring_dedup.shared_passages(frame(spark, rows_of((i, " ".join(shared + passage(rng, 30))) for i in range(4))))
+    assert sum("Exchange hashpartitioning(hash#" in line for plan in plans for line in plan.splitlines()) == 1
+    assert not any("hashes#" in plan and "SortMergeJoin [digest#" in plan for plan in plans)
+
+
+def test_copies_and_ids_on_several_texts(spark):
+    rng = random.Random(14)
+    shared, other = passage(rng, 70), passage(rng, 60)
+    texts = sorted((" ".join(passage(rng, 20) + x) for x in (shared, other)), key=lambda t: hashlib.blake2b(t.encode(), digest_size=16).digest())
+    # Id 1 goes by the first of its two texts; 4 and 6 share the passage of the second one with each other only.
+    first, second = (shared, other) if texts[0].endswith(" ".join(shared)) else (other, shared)
+    rows = [(1, texts[0]), (1, texts[1]), (2, " ".join(first + passage(rng, 20))), (4, " ".join(second)), (6, " ".join(second + passage(rng, 30)))]
+    rows += [(i, rows[2][1]) for i in range(10, 40)]
+    out = {r.doc_id: r for r in substring_dedup.repeated_passages(frame(spark, rows_of(rows))).where("doc_id <> 1").collect()}
+    member = {i: set(r.shared) for i, r in out.items()}
+    assert set(out) == {2, 4, 6, *range(10, 40)} and all(out[i].class_id == 2 and out[i].n_copies == 31 for i in range(10, 40))
+    assert member[4] & member[6] and not member[2] & member[4] and {out[i].n_links for i in (2, 4, 6)} == {1}
+
+
 def test_clashing_columns(spark):
     rows = [(1, "a b c d e f", "x", 1, "y"), (2, "a b c d e f", "x", 2, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, gone string, gone_ int, digest string")
