@@ -74,6 +74,32 @@ def test_fusion_and_competition(spark):
     assert stats(blocking.merge_competition(parts)) == stats(blocking.competition(scores))
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_competition_of_large_parts(spark, tmp_path, adaptive):
+    """Parts that are too large to be broadcast, with exchanges that are used again."""
+    fused = spark.range(3000).select(F.lit("x").alias("country"), F.col("id").alias("s1"), (F.pmod(F.hash("id"), F.lit(2)) + 2).alias("source"), F.pmod(F.hash("id", F.lit(1)), F.lit(200)).cast("long").alias("id"), (F.pmod(F.hash("id", F.lit(2)), F.lit(50)) / 50).alias("rrf"))
+    tables.save(fused, str(tmp_path))
+    fused = tables.load(spark, str(tmp_path))
+    scores = defaultdict(list)
+    for r in fused.collect():
+        scores[r.source, r.id].append(r.rrf)
+    want = {k: (*sorted([*v, 0.0], reverse=True)[:2], len(v)) for k, v in scores.items()}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": adaptive}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        parts = [blocking.competition(fused.where(F.col("s1") % 3 == k)) for k in range(3)]
+        merged = blocking.merge_competition(parts)
+        first = parts[0].select("country", "source", "id", F.col("best").alias("first"))
+        again = merged.join(first, ["country", "source", "id"], "left").collect()
+        for rows in (merged.collect(), again):
+            assert len(rows) == len(want) and {(r.source, r.id): (r.best, r.second, r.rivals) for r in rows} == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_blocking_quality(spark):
     s1 = spark.createDataFrame([("x", 1), ("x", 2), ("y", 3)], "country string, id long")
     pool = spark.createDataFrame([("x", 2, 1), ("x", 3, 2), ("y", 2, 3)], "country string, source int, id long")
